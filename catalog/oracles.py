@@ -449,3 +449,86 @@ ORACLES: dict[str, str] = {
     "weekly_alert_summary": "WITH " + ", ".join(REPORT)
     + " SELECT count(*) FILTER (alerts <> '-') AS weeks_with_alerts, count(*) AS weeks FROM report",
 }
+
+
+# ---- streams: the batch result, because a stream has to reach the same rows
+
+STREAM_TIES = history_sql(TIES, id="CAST(trans_num AS VARCHAR)")
+
+
+def streamed(rows: str, where: str = "TRUE") -> str:
+    return with_txn(
+        f"SELECT CAST(trans_num AS VARCHAR) AS transaction_id, cc_num, {HISTORY_COLUMNS}, false AS late FROM ({rows}) WHERE {where}"
+    )
+
+
+HOUR_START = "date_trunc('hour', trans_date_trans_time)"
+
+ORACLES |= {
+    "stream_history": streamed(STREAM_TIES),
+    "stream_history_state_store": streamed(STREAM_TIES),
+    "backfill_stream": streamed(history_sql(), "split = 'test'"),
+    "backfill_state_store": streamed(history_sql(), "split = 'test'"),
+    "stream_scoring": with_txn(
+        "SELECT count(*) AS scored_live, count(*) AS scored_offline, count(*) AS same_score, count(*) AS same_decision "
+        "FROM txn WHERE split = 'test'"
+    ),
+    "stream_dead_letter": with_txn(
+        """SELECT violations, count(*) AS n FROM (SELECT CASE trans_num % 10 WHEN 3 THEN 'amount' WHEN 7 THEN 'timestamp'
+             WHEN 9 THEN 'transaction_id,cc_num,amount,category,timestamp,customer_dob,customer_lat,customer_long,merchant_lat,merchant_long,city_pop'
+             END AS violations FROM txn) WHERE violations IS NOT NULL GROUP BY violations"""
+    ),
+    "live_decisions": with_txn(
+        f"SELECT {iso(HOUR_START)} AS window_start, {DECISION} AS decision, count(*) AS n FROM txn GROUP BY ALL"
+    ),
+    "label_join_stream": with_txn(
+        "SELECT CAST(trans_num AS VARCHAR) AS transaction_id, CASE WHEN trans_num % 3 <> 0 THEN is_fraud END AS is_fraud FROM txn "
+        "WHERE trans_date_trans_time < TIMESTAMP '2024-01-25'"
+    ),
+}
+
+# ---- learning
+
+TICKET = "(trans_num % 1000003) * 2654435761 % 4294967296"
+PAIRS = """
+vec AS (SELECT vec_id, embedding::DOUBLE[] AS x, (label = 0)::INT AS y, label FROM embeddings),
+near AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, list_distance(a.x, b.x) AS distance, a.y AS ya, b.y AS yb,
+           a.label % 2 AS pa, b.label % 2 AS pb FROM vec a JOIN vec b ON a.vec_id <> b.vec_id)
+"""
+LINKS = """
+closest AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) = 1),
+links AS (SELECT f.id AS a, f.neighbour AS b, round(f.distance, 6) AS distance FROM closest f JOIN closest g
+            ON f.neighbour = g.id AND g.neighbour = f.id AND f.id < f.neighbour AND f.pa <> f.pb)
+"""
+
+ORACLES |= {
+    "undersample": with_txn(
+        f"SELECT trans_num, is_fraud FROM txn WHERE is_fraud = 1 UNION ALL SELECT trans_num, is_fraud FROM "
+        f"(SELECT *, row_number() OVER (ORDER BY {TICKET}, trans_num) AS r FROM txn WHERE is_fraud = 0) "
+        "WHERE r <= (SELECT floor(sum(is_fraud) / 0.1::DOUBLE) FROM txn)"
+    ),
+    "nearest_neighbours": f"WITH {PAIRS} SELECT id, neighbour, CAST(r AS INTEGER) AS rank, round(distance, 6) AS distance FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) AS r FROM near) WHERE r <= 5",
+    "smote": f"""
+        WITH {PAIRS},
+        sizes AS (SELECT count(*) FILTER (y = 1) AS pos, CAST(floor(count(*) FILTER (y = 0) * 0.3::DOUBLE) AS BIGINT) - count(*) FILTER (y = 1) AS missing FROM vec),
+        starts AS (SELECT vec_id AS id, x, missing // pos + (row_number() OVER (ORDER BY (vec_id % 1000003) * 2654435761 % 4294967296, vec_id) <= missing % pos)::INT AS copies
+                   FROM vec, sizes WHERE y = 1),
+        many AS (SELECT id, x, unnest(generate_series(1, copies)) AS copy FROM starts),
+        near5 AS (SELECT id, neighbour, row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) AS r FROM near WHERE ya = 1 AND yb = 1),
+        made AS (SELECT list_transform(list_zip(m.x, v.x), lambda p: p[1] + (((m.id * 13 + m.copy * 29) % 100) / 100.0::DOUBLE) * (p[2] - p[1])) AS x
+                 FROM many m JOIN near5 n ON n.id = m.id AND n.r = (m.id * 7 + m.copy * 3) % 5 + 1 JOIN vec v ON v.vec_id = n.neighbour),
+        rows AS (SELECT vec_id, y, x FROM vec UNION ALL SELECT NULL, 1, x FROM made)
+        SELECT vec_id, y, round(list_sum(x), 6) AS total, round(x[1], 6) AS x0, round(x[2], 6) AS x1 FROM rows""",
+    "tomek": f"WITH {PAIRS}, {LINKS} SELECT a, b, distance FROM links",
+    "tomek_removed": f"WITH {PAIRS}, {LINKS} SELECT vec_id, label % 2 AS y FROM vec "
+    "WHERE vec_id NOT IN (SELECT a FROM links UNION SELECT b FROM links)",
+    "promote": with_txn(
+        "SELECT g AS version, round(pr_auc, 6) AS val_pr_auc, CASE WHEN best IS NULL OR pr_auc > best THEN 'champion' ELSE 'challenger' END AS alias "
+        "FROM (SELECT *, max(pr_auc) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM metrics)",
+        metrics_sql(0.5, "strftime(trans_date_trans_time, '%Y-%m-%d')"),
+    ),
+    "test_guard": with_txn(
+        "SELECT strftime(trans_date_trans_time, '%Y-%m-%d') AS version FROM txn GROUP BY ALL HAVING sum(is_fraud) <= 18"
+    ),
+}
