@@ -25,6 +25,7 @@ from tidemark.plans.dataset import build_dataset, model_input
 from tidemark.plans.monitoring import alert_summary, drift_distances, large_enough, week_label, weekly_report
 from tidemark.plans.summary import final_summary, summary_by_split
 from tidemark.schemas import HISTORY_FEATURES
+from tidemark.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -366,8 +367,9 @@ def delayed_labels(spark, sf_dir):
 
 
 def _featured(spark, sf_dir):
-    rows = add_transaction_features(transactions(spark, sf_dir))
-    return history_features(rows).withColumn("week", week_label(F.col("trans_date_trans_time")))
+    """The prepared table, stored once because the drift reports read it several times."""
+    rows = history_features(add_transaction_features(transactions(spark, sf_dir)))
+    return stored(rows.withColumn("week", week_label(F.col("trans_date_trans_time"))), "featured")
 
 
 def _period(df):

@@ -14,7 +14,7 @@ from tidemark.operators.sampling import sample_fraction, undersample
 from tidemark.plans.dataset import build_dataset
 from tidemark.plans.registry import VERSION_SCHEMA, load_champion, not_yet_evaluated, promote, promotion_history
 from tidemark.plans.training import EXPERIMENTS, compare, fit_model, importances, random_search, train_final, with_score
-from tidemark.session import new_working_path
+from tidemark.session import new_working_path, stored
 
 # Small models keep the queries short; the library's defaults are the full-size ones.
 SMALL = {"n_estimators": 10, "max_depth": 4}
@@ -35,10 +35,8 @@ def _vectors(spark, sf_dir) -> DataFrame:
 def _prepared(spark, sf_dir) -> DataFrame:
     raw = transactions(spark, sf_dir).drop("split", "score")
     cut = F.lit(CUT_TEST).cast("timestamp_ntz")
-    path = new_working_path(spark, "prepared")
     time = F.col("trans_date_trans_time")
-    build_dataset(raw.where(time < cut), raw.where(time >= cut), CUT_VALIDATION).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(build_dataset(raw.where(time < cut), raw.where(time >= cut), CUT_VALIDATION), "prepared")
 
 
 def _periods(spark, sf_dir):
@@ -95,17 +93,19 @@ def imbalance_compare(spark, sf_dir):
     def over(df):
         return smote(df, 0.1, "trans_num", "features", "is_fraud")
 
-    def over_and_clean(df):
+    def over_more(df):
         more = smote(df, 0.3, "trans_num", "features", "is_fraud")
-        numbered = more.withColumn("trans_num", F.coalesce("trans_num", -1 - F.pmod(F.xxhash64("features"), F.lit(1 << 62))))
-        return remove_tomek_links(numbered, "trans_num", "features", "is_fraud")
+        return more.withColumn("trans_num", F.coalesce("trans_num", -1 - F.pmod(F.xxhash64("features"), F.lit(1 << 62))))
+
+    def without_links(df):
+        return remove_tomek_links(df, "trans_num", "features", "is_fraud")
 
     runs = {
         "no handling": trees,
         "class weights": {**trees, "class_weighting": True},
         "undersampling": {**trees, "samplers": [under]},
         "smote": {**trees, "samplers": [over]},
-        "undersampling + smote-tomek": {**trees, "samplers": [under, over_and_clean]},
+        "undersampling + smote-tomek": {**trees, "samplers": [under, over_more, without_links]},
     }
     return rounded(compare(train, val, runs).select("run", "pr_auc", "recall_at_1pct_fpr", "precision", "recall"), 4)
 

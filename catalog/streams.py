@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.batch import Query, rounded
-from catalog.fixture import CATEGORIES, table, transactions
+from catalog.fixture import CATEGORIES, CUT_VALIDATION, transactions
 from tidemark.columns import TxnColumns
 from tidemark.functions.rules import decide, split_valid
 from tidemark.functions.scalars import iso_time
@@ -20,7 +20,7 @@ from tidemark.operators.state import snapshot
 from tidemark.plans.dataset import build_dataset
 from tidemark.plans.training import fit_model, with_score
 from tidemark.schemas import HISTORY_FEATURES
-from tidemark.session import ROCKSDB, new_working_path
+from tidemark.session import ROCKSDB, new_working_path, stored
 from tidemark.sources.readers import decode_events, file_messages
 from tidemark.sources.writers import keyed_messages, micro_batch_sink, publish_files
 from tidemark.streaming.keyed_state import keyed_history
@@ -107,9 +107,7 @@ def stream_scoring(spark, sf_dir):
     rows = transactions(spark, sf_dir)
     raw = rows.drop("split", "score")
     train_raw, test_raw = (raw.where(rows["split"] != "test"), raw.where(rows["split"] == "test"))
-    path = new_working_path(spark, "prepared")
-    build_dataset(train_raw, test_raw, "2024-01-15").write.parquet(path)
-    prepared = spark.read.parquet(path)
+    prepared = stored(build_dataset(train_raw, test_raw, CUT_VALIDATION), "prepared")
     model = fit_model(prepared.where("split = 'train'"), "logreg")
 
     work = new_working_path(spark, "stream")

@@ -7,7 +7,7 @@ is walked bin by bin (see `ordered`). The number of windows must be modest - the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +37,16 @@ def inject_drift(df: DataFrame, time: str, since: str, factor: float, amount: st
     return df.withColumns(out)
 
 
-def numeric_drift(df: DataFrame, window: str, windows: Sequence[str], features: Sequence[str]) -> DataFrame:
+def numeric_drift(
+    df: DataFrame, window: str, windows: Sequence[str], features: Sequence[str],
+    cuts: Mapping[str, Sequence[float]] | None = None,
+) -> DataFrame:
     """Wasserstein distance to the reference, divided by the reference's deviation.
 
     Rows whose `window` is null are the reference. Returns (window, feature, distance).
     """
     doubles = df.select(window, *(F.col(f).cast("double").alias(f) for f in features))
-    cuts = quantile_cuts(doubles, features)
+    cuts = quantile_cuts(doubles, features) if cuts is None else cuts
     for f in features:
         doubles = bin_of(doubles, f, cuts[f], f"_bin_{f}", invalid="keep")
     pairs = F.array(

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.sampling import lottery, sample_rows
+from tidemark.session import stored
 
 BLOCK_ROWS = 2000
 MAX_PIVOTS = 512
@@ -35,7 +36,9 @@ def nearest(df: DataFrame, id: str, vector: str, k: int = 1, block_rows: int = B
     wanted = max(1, min(MAX_PIVOTS, ceil(rows / block_rows)))
     pivots = np.array([r["x"] for r in sample_rows(points, "id", wanted, seed).select("x").collect()], dtype="float64")
 
-    grouped = points.mapInPandas(_nearest_pivot(pivots), "id long, x array<double>, cell int, away double")
+    grouped = stored(
+        points.mapInPandas(_nearest_pivot(pivots), "id long, x array<double>, cell int, away double"), "cells"
+    )
     cells = grouped.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
     cells = cells.withColumn("blocks", F.ceil(F.col("n") / F.lit(block_rows)).cast("int"))
     # At most one row per pivot.
@@ -46,7 +49,7 @@ def nearest(df: DataFrame, id: str, vector: str, k: int = 1, block_rows: int = B
     placed = grouped.select("id", "x", "cell", block.alias("block"))
 
     found = "id long, neighbour long, distance double"
-    own = placed.groupBy("cell", "block").applyInPandas(_within_block(k), found)
+    own = stored(placed.groupBy("cell", "block").applyInPandas(_within_block(k), found), "own-block")
     bound = own.groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_d"))
     asking = placed.join(bound, F.col("id") == F.col("_id"), "left").select(
         "id", "x", "cell", "block", F.when(F.col("_n") >= k, F.col("_d")).alias("bound")

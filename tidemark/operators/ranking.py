@@ -40,11 +40,16 @@ def precision_recall_f1() -> dict[str, Column]:
     }
 
 
-def ranking_curve(df: DataFrame, cols: TxnColumns = DEFAULT, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct scores from high to low with positives/negatives at, and down to, each of them."""
+def ranking_curve(
+    df: DataFrame, cols: TxnColumns = DEFAULT, by: Sequence[str] = (), cuts: Sequence[float] | None = None
+) -> DataFrame:
+    """Distinct scores from high to low with positives/negatives at, and down to, each of them.
+
+    `cuts` are cut points of the score from an earlier pass, see `ordered.quantile_cuts`.
+    """
     label = F.col(cols.label)
     sums = {"pos": F.count_if(label == 1), "neg": F.count_if(label == 0)}
-    return running_totals(df, cols.score, sums, by, descending=True)
+    return running_totals(df, cols.score, sums, by, descending=True, cuts=cuts)
 
 
 def evaluate(
@@ -53,13 +58,14 @@ def evaluate(
     max_fpr: float = 0.01,
     cols: TxnColumns = DEFAULT,
     by: Sequence[str] = (),
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """All tracked metrics, one row per group; ranking metrics are null for a group without positives.
 
     Average precision sums recall steps times precision over distinct scores; the area under the ROC
     curve counts a tie as one half; both follow from the same curve, as do the counts at `threshold`.
     """
-    curve = ranking_curve(df, cols, by)
+    curve = ranking_curve(df, cols, by, cuts)
     pos, neg, found, alarms = F.col("pos"), F.col("neg"), F.col("run_pos"), F.col("run_neg")
     within = ratio(alarms, F.col("all_neg")) <= max_fpr
     flagged = F.col(cols.score) >= threshold

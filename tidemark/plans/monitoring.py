@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +16,9 @@ from tidemark.operators.drift import (
     MIN_ROWS,
     RETRAIN_RECALL_DROP,
     categorical_drift,
-    drift_share,
     numeric_drift,
 )
+from tidemark.operators.ordered import quantile_cuts
 from tidemark.operators.ranking import evaluate
 from tidemark.schemas import DRIFT_CATEGORICAL, DRIFT_NUMERIC
 
@@ -49,21 +50,32 @@ def drift_distances(
 ) -> DataFrame:
     """Distance of every feature in every window from the reference, long form."""
     features = [*numeric, *categorical]
-    rows = reference.select(F.lit(None).cast("string").alias(window), *features).unionByName(
-        current.where(F.col(window).isin(list(windows))).select(window, *features)
+    rows = _beside_reference(reference, current, window, windows, features)
+    cuts = quantile_cuts(rows, numeric) if numeric else {}
+    return _distances(rows, window, windows, numeric, categorical, cuts)
+
+
+def _beside_reference(
+    reference: DataFrame, current: DataFrame, window: str, windows: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Reference rows (null window) and the rows of the wanted windows."""
+    return reference.select(F.lit(None).cast("string").alias(window), *columns).unionByName(
+        current.where(F.col(window).isin(list(windows))).select(window, *columns)
     )
+
+
+def _distances(rows, window, windows, numeric, categorical, cuts) -> DataFrame:
     parts = []
     for start in range(0, len(windows), WINDOWS_PER_PASS):
         some = list(windows)[start : start + WINDOWS_PER_PASS]
-        chosen = rows.where(F.col(window).isNull() | F.col(window).isin(some))
+        chosen = rows
+        if len(windows) > WINDOWS_PER_PASS:
+            chosen = rows.where(F.col(window).isNull() | F.col(window).isin(some))
         if numeric:
-            parts.append(numeric_drift(chosen, window, some, numeric))
+            parts.append(numeric_drift(chosen, window, some, numeric, cuts))
         if categorical:
             parts.append(categorical_drift(chosen, window, some, categorical))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def alert_text(share: Column, score_distance: Column, recall_drop: Column) -> Column:
@@ -86,36 +98,37 @@ def weekly_report(
     min_positives: int = MIN_POSITIVES,
     cols: TxnColumns = DEFAULT,
 ) -> DataFrame:
-    """One row per week of `current` that is large enough. All rows are used, none sampled."""
+    """One row per week of `current` that is large enough. All rows are used, none sampled.
+
+    Both inputs are read several times; hand in stored tables, not long computations.
+    """
     weekly = current.withColumn("week", week_label(F.col(cols.time)))
-    sizes = large_enough(weekly, "week", min_rows, min_positives, cols)
     # One name per week of data: a list bounded by the length of the period, not by its volume.
-    weeks = sorted(row["week"] for row in sizes.select("week").collect())
-    if not weeks:
-        weeks = ["none"]
+    judged = large_enough(weekly, "week", min_rows, min_positives, cols).select("week").collect()
+    weeks = sorted(row["week"] for row in judged) or ["none"]
     monitored = [*numeric, cols.score]
-    distances = drift_distances(reference, weekly, "week", weeks, monitored, categorical)
+    rows = _beside_reference(reference, weekly, "week", weeks, [*monitored, *categorical, cols.label])
+    cuts = quantile_cuts(rows, monitored)
+
     on_score = F.col("feature") == cols.score
-    features = drift_share(distances.where(~on_score))
-    amount = F.max(F.when(F.col("feature") == cols.amount, F.col("distance")))
-    single = distances.groupBy("window").agg(
-        amount.alias("amt_drift"), F.max(F.when(on_score, F.col("distance"))).alias("score_drift")
-    )
-    quality = evaluate(weekly.where(F.col("week").isin(weeks)), cols=cols, by=["week"]).select(
-        "week", "pr_auc", "recall_at_1pct_fpr"
+    drifted = (F.col("distance") >= DRIFT_AT).cast("double")
+    drift = _distances(rows, "week", weeks, monitored, categorical, cuts).groupBy(F.col("window").alias("_week")).agg(
+        F.avg(F.when(~on_score, drifted)).alias("drift_share"),
+        F.max(F.when(F.col("feature") == cols.amount, F.col("distance"))).alias("amt_drift"),
+        F.max(F.when(on_score, F.col("distance"))).alias("score_drift"),
     )
-    baseline = evaluate(reference, cols=cols).select(F.col("recall_at_1pct_fpr").alias("_ref_recall"))
+    quality = evaluate(rows, cols=cols, by=["week"], cuts=cuts[cols.score])
+    baseline = quality.where(F.col("week").isNull()).select(F.col("recall_at_1pct_fpr").alias("_ref_recall"))
     joined = (
-        sizes.join(quality, "week")
-        .join(features.withColumnRenamed("window", "week"), "week", "left")
-        .join(single.withColumnRenamed("window", "week"), "week", "left")
+        quality.where(F.col("week").isNotNull())
+        .join(drift, F.col("week") == F.col("_week"))
         .join(F.broadcast(baseline), F.lit(True), "left")
     )
     drop = 1 - F.try_divide(F.col("recall_at_1pct_fpr"), F.col("_ref_recall"))
     return joined.select(
         "week",
-        "transactions",
-        F.round(100 * F.col("fraud_rate"), 2).alias("fraud_rate_pct"),
+        (F.col("positives") + F.col("negatives")).alias("transactions"),
+        F.round(100 * F.col("base_rate"), 2).alias("fraud_rate_pct"),
         F.round("pr_auc", 4).alias("pr_auc"),
         F.round("recall_at_1pct_fpr", 4).alias("recall_at_1pct_fpr"),
         F.round(100 * F.col("drift_share")).cast("int").alias("drifted_features_pct"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -31,9 +31,12 @@ def new_working_path(spark: SparkSession, name: str) -> str:
     return f"{working_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df):
-    """Cut the lineage on storage that outlives any executor."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(working_root(spark))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows read back from a table in the working folder.
+
+    Used where a result is needed several times: it is computed once, survives the loss of executors, and
+    later reads still prune columns.
+    """
+    path = new_working_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
