@@ -123,7 +123,7 @@ def search(spark, sf_dir):
 
 def importance(spark, sf_dir):
     train, _, _ = _periods(spark, sf_dir)
-    return rounded(importances(fit_model(train, "trees", params=SMALL), train))
+    return rounded(importances(fit_model(train, "trees", params=SMALL), spark))
 
 
 def score_batch(spark, sf_dir):

@@ -19,7 +19,7 @@ is ever gathered per key except one small total per slice.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from math import gcd
@@ -74,22 +74,41 @@ def history_features(
     single-shuffle route, `hot_rows=0` sends every key through the slices. `mark_late` adds a flag
     for rows older than their key's state; their gap is zero rather than negative.
     """
+    rows = contributions(df, cols, before)
+    return features_of(rows, df.columns, cols, windows, max_gap, hot_rows, slice_seconds, mark_late)
+
+
+def features_of(
+    rows: DataFrame,
+    columns: Sequence[str],
+    cols: TxnColumns = DEFAULT,
+    windows: Mapping[str, int] = WINDOWS,
+    max_gap: int = MAX_GAP_SECONDS,
+    hot_rows: int | None = HOT_ROWS,
+    slice_seconds: int = SLICE_SECONDS,
+    mark_late: bool = False,
+) -> DataFrame:
+    """Second half of `history_features`, for callers that keep the output of `contributions`."""
     spans = {name: int(seconds) * MICROS for name, seconds in windows.items()}
-    rows = _contributions(df, cols, before)
     if hot_rows is None:
         seen = _by_key(rows, cols, spans)
     else:
-        counts = rows.groupBy(F.col(cols.key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_rows"))
-        hot = counts.where(F.col("_rows") > hot_rows).select("_hot_key")
+        hot = hot_keys(rows, cols.key, hot_rows)
         is_hot = F.col(cols.key).eqNullSafe(F.col("_hot_key"))
         width = _slice_width(spans, slice_seconds * MICROS)
         seen = _by_key(rows.join(hot, is_hot, "left_anti"), cols, spans).unionByName(
             _by_slice(rows.join(hot, is_hot, "left_semi"), cols, spans, width)
         )
-    return _finish(df, seen, cols, spans, max_gap, mark_late)
+    return _finish(columns, seen, cols, spans, max_gap, mark_late)
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """Keys with more than `hot_rows` rows. Left to Spark to broadcast or shuffle, by its size."""
+    counts = rows.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") > hot_rows).select("_hot_key")
 
 
-def _contributions(df: DataFrame, cols: TxnColumns, before: KeyState | None) -> DataFrame:
+def contributions(df: DataFrame, cols: TxnColumns, before: KeyState | None = None) -> DataFrame:
     """Each row with what it adds to later rows: to the running totals and to the windows."""
     us, amount = epoch_us(F.col(cols.time)), F.col(cols.amount)
     rows = df.withColumns(
@@ -245,7 +264,7 @@ def _plus(*names: str) -> Column:
 
 
 def _finish(
-    df: DataFrame, seen: DataFrame, cols: TxnColumns, spans: Mapping[str, int], max_gap: int, mark_late: bool
+    columns: Sequence[str], seen: DataFrame, cols: TxnColumns, spans: Mapping[str, int], max_gap: int, mark_late: bool
 ) -> DataFrame:
     features = {}
     for span in spans:
@@ -260,4 +279,4 @@ def _finish(
     )
     if mark_late:
         features["late"] = F.coalesce(F.col(_US) < F.col("_past_last"), F.lit(False))
-    return seen.select(*df.columns, *(c.alias(name) for name, c in features.items()))
+    return seen.select(*columns, *(c.alias(name) for name, c in features.items()))

@@ -21,7 +21,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.columns import DEFAULT, TxnColumns
 from tidemark.functions.scalars import MICROS, epoch_us
-from tidemark.operators.history import HOT_ROWS, MAX_GAP_SECONDS, WINDOWS, KeyState, history_features
+from tidemark.operators.history import (
+    HOT_ROWS,
+    MAX_GAP_SECONDS,
+    WINDOWS,
+    KeyState,
+    contributions,
+    features_of,
+    hot_keys,
+)
 from tidemark.operators.state import write_state
 
 
@@ -51,16 +59,21 @@ class TableStateHistory:
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
     def process(self, batch: DataFrame, batch_id: int, transform=None) -> None:
+        """The rows of a batch are kept for its few jobs; a lost copy is recomputed from older folders only."""
         batch = batch.persist()
+        before = self._state_before(batch, batch_id)
+        rows = contributions(batch, self.cols, before).persist()
         try:
-            before = self._state_before(batch, batch_id)
-            features = history_features(
-                batch, self.cols, self._windows(), self.max_gap, self.hot_rows, before=before, mark_late=True
+            crowded = self.hot_rows is not None and not hot_keys(rows, self.cols.key, self.hot_rows).isEmpty()
+            features = features_of(
+                rows, batch.columns, self.cols, self._windows(), self.max_gap,
+                self.hot_rows if crowded else None, mark_late=True,
             )
             out = features if transform is None else transform(features)
             out.write.mode("overwrite").parquet(f"{self.output_path}/batch_id={batch_id}")
             self._write_after(batch, before, batch_id)
         finally:
+            rows.unpersist()
             batch.unpersist()
 
     def state_after(self, spark: SparkSession, batch_id: int) -> KeyState:
