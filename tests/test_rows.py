@@ -3,9 +3,11 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from samples import random_rows, txns
+from tidemark.columns import DEFAULT
 from tidemark.functions.rules import alerts_feed, decide, split_valid, with_violations
 from tidemark.functions.scalars import haversine_km, iso_time
-from tidemark.operators.clean import clean, to_event, to_label_event
+from tidemark.operators.clean import _between_positions, clean, in_time_order, to_event, to_label_event
 from tidemark.plans.dataset import build_dataset
 from tidemark.schemas import EVENT_SCHEMA, FEATURES, PII_COLUMNS, RAW_SCHEMA
 from tidemark.sources.readers import load_raw, load_split, load_transactions
@@ -122,3 +124,14 @@ def test_iso_time_without_fraction(spark):
 def test_report_file(spark, tmp_path):
     write_report(spark.range(3).toDF("n"), str(tmp_path / "r"), "csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).count() == 3
+
+
+@pytest.mark.parametrize("skip,limit", [(0, 3), (3, None), (5, 4), (9, 100), (200, None), (0, None)])
+def test_positions_without_a_single_task(spark, skip, limit):
+    rows = random_rows(200, 4, days=1) + [(f"z{i}", "A", 0, 1.0) for i in range(8)]
+    df = txns(spark, rows)
+    want = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))][skip : None if limit is None else skip + limit]
+    assert [r["trans_num"] for r in in_time_order(df, skip, limit).collect()] == want
+    if skip or limit:
+        rest = _between_positions(df, skip, limit, DEFAULT).orderBy("trans_date_trans_time", "trans_num").collect()
+        assert [r["trans_num"] for r in rest] == want

@@ -14,7 +14,7 @@ from tidemark.operators.state import snapshot
 from tidemark.schemas import HISTORY_FEATURES
 from tidemark.sources.readers import decode_events, file_messages
 from tidemark.sources.writers import micro_batch_sink
-from tidemark.streaming.keyed_state import CardMemory, keyed_history
+from tidemark.streaming.keyed_state import CardMemory, exported_state, keyed_history
 from tidemark.streaming.live import once
 from tidemark.streaming.table_state import TableStateHistory
 
@@ -128,6 +128,11 @@ def test_state_store_equals_one_pass_after_a_restart(spark, tmp_path):
         if i % 2:
             state_store_run(spark, tmp_path, files=None)
     assert_same(result(spark, tmp_path / "out"), slow_history(rows))
+    stored, batch = exported_state(spark, str(tmp_path / "checkpoint")), snapshot(txns(spark, rows))
+    for side in ("totals", "recent"):
+        a, b = (getattr(s, side).select(*(c for c in getattr(batch, side).columns if c != "id")) for s in (stored, batch))
+        assert sorted(map(repr, a.selectExpr([f"round({c}, 6) {c}" if c in ("amt", "total_amount") else c for c in a.columns]).collect())) == \
+            sorted(map(repr, b.selectExpr([f"round({c}, 6) {c}" if c in ("amt", "total_amount") else c for c in b.columns]).collect()))
 
 
 def test_state_store_starts_from_a_backfill(spark, tmp_path):

@@ -21,7 +21,8 @@ from tidemark.operators.sampling import lottery, sample_rows
 from tidemark.session import stored
 
 BLOCK_ROWS = 2000
-MAX_PIVOTS = 512
+MAX_PIVOTS = 8192
+_ROWS_AT_ONCE = 512
 _SLACK = 1e-9
 _CELLS_AT_ONCE = 4_000_000
 
@@ -92,13 +93,19 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _in_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Bounds the memory of a task: rows at once times pivots."""
+    for batch in batches:
+        for start in range(0, len(batch), _ROWS_AT_ONCE):
+            yield batch.iloc[start : start + _ROWS_AT_ONCE]
+
+
 def _nearest_pivot(pivots: np.ndarray):
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                d = _distances(_matrix(batch["x"]), pivots)
-                cell = d.argmin(axis=1)
-                yield batch.assign(cell=cell.astype("int32"), away=d[np.arange(len(d)), cell])
+        for batch in _in_pieces(batches):
+            d = _distances(_matrix(batch["x"]), pivots)
+            cell = d.argmin(axis=1)
+            yield batch.assign(cell=cell.astype("int32"), away=d[np.arange(len(d)), cell])
 
     return assign
 
@@ -127,9 +134,7 @@ def _visits(pivots: np.ndarray, shape: dict[int, tuple[int, float]]):
     radius = np.array([shape[c][1] for c in cells])
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in _in_pieces(batches):
             d = _distances(_matrix(batch["x"]), pivots[cells])
             bound = batch["bound"].fillna(np.inf).to_numpy()
             reach = d - radius[None, :] <= (bound * (1 + _SLACK) + _SLACK)[:, None]

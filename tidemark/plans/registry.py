@@ -50,6 +50,12 @@ def not_yet_evaluated(requested: DataFrame, evaluations: DataFrame, version: str
     return requested if force else requested.join(evaluations.select(version), version, "left_anti")
 
 
+def mark_evaluated(versions: DataFrame, version: str) -> DataFrame:
+    """Remember that the test period has been opened for a version."""
+    opened = (F.col("version") == version) | F.coalesce("test_evaluated", F.lit(False))
+    return versions.withColumn("test_evaluated", opened)
+
+
 def champion(versions: DataFrame) -> Row:
     row = versions.where(F.col("alias") == "champion").first()
     if row is None:

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -159,3 +159,15 @@ def keyed_history(
         CardProcessor(id, windows, max_gap), outputStructType=schema, outputMode="append", timeMode="none",
         initialState=initial,
     )
+
+
+def exported_state(spark: SparkSession, checkpoint: str, key: str = "cc_num") -> KeyState:
+    """State of a stopped (or running) `keyed_history` query as tables, read from its checkpoint."""
+
+    def variable(name: str, **options) -> DataFrame:
+        reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name)
+        return reader.options(**options).load()
+
+    totals = variable("totals").select(F.col(f"key.{key}").alias(key), "value.*")
+    recent = variable("recent", flattenCollectionTypes="true").select(F.col(f"key.{key}").alias(key), "list_element.*")
+    return KeyState(totals, recent.select(key, "us", F.lit(None).cast("string").alias("id"), "amt"))
