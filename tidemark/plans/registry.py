@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import path_exists
+
 VERSION_SCHEMA = T.StructType(
     [
         T.StructField("version", T.StringType()),
@@ -67,3 +69,25 @@ def load_champion(versions: DataFrame) -> tuple[PipelineModel, Row]:
     """The champion's model with the row that holds its own threshold."""
     row = champion(versions)
     return PipelineModel.load(row["model_path"]), row
+
+
+def save_versions(versions: DataFrame, path: str) -> None:
+    """Add the table as the next revision; earlier revisions stay readable."""
+    spark = versions.sparkSession
+    latest = _revisions(spark, path)
+    number = 0 if latest is None else latest.agg(F.max("revision")).first()[0] + 1
+    versions.select(*VERSION_SCHEMA.fieldNames()).withColumn("revision", F.lit(number)).write.mode("append").parquet(path)
+
+
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The latest revision, or an empty table."""
+    rows = _revisions(spark, path)
+    if rows is None:
+        return spark.createDataFrame([], VERSION_SCHEMA)
+    newest = rows.agg(F.max("revision")).first()[0]
+    return rows.where(F.col("revision") == newest).drop("revision")
+
+
+def _revisions(spark: SparkSession, path: str) -> DataFrame | None:
+    layout = T.StructType([*VERSION_SCHEMA.fields, T.StructField("revision", T.IntegerType())])
+    return spark.read.schema(layout).parquet(path) if path_exists(spark, path) else None

@@ -31,6 +31,7 @@ from tidemark.operators.history import (
     hot_keys,
 )
 from tidemark.operators.state import write_state
+from tidemark.session import path_exists
 
 
 @dataclass(frozen=True)
@@ -94,7 +95,7 @@ class TableStateHistory:
         first = batch_id - batch_id % self.compact_every
         folders = [(i, f"{self.state_path}/batch_id={i}") for i in range(max(first - 1, 0), batch_id)]
         start = f"{self.state_path}/start"
-        if first == 0 and _exists(spark, start):
+        if first == 0 and path_exists(spark, start):
             folders.insert(0, (-1, start))
         return folders
 
@@ -150,8 +151,3 @@ class TableStateHistory:
             kept = whole.recent.unionByName(arrived)
             arrived = kept.join(last, (F.col(key) == F.col("_key")) & (F.col("us") >= F.col("_from"))).drop("_key", "_from")
         arrived.write.mode("overwrite").parquet(f"{target}/recent")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
