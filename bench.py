@@ -30,6 +30,7 @@ HEADLINE = {
     "weekly_alerts": batch.weekly_alerts,
     "undersample": learning.undersample_rows,
     "backfill_stream": streams.backfill_stream,
+    "stream_scoring": streams.stream_scoring,
 }
 
 

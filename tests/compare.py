@@ -19,6 +19,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def load_entry():
     spec = importlib.util.spec_from_file_location("spark_entry", ROOT / "__spark_entry__.py")
     module = importlib.util.module_from_spec(spec)
@@ -58,6 +61,10 @@ def compare(spark, con, query, sql, sf_dir):
     if sql is None:
         return len(rows), seconds, []
     cursor = con.execute(sql)
+    sql_types = {d[0]: str(d[1]) for d in cursor.description}
+    different = {n: (t, sql_types.get(n)) for n, t in df.dtypes if TYPES.get(t) != sql_types.get(n)}
+    if different:
+        print("        types differ:", different)
     sql_names, sql_rows = normal([d[0] for d in cursor.description], cursor.fetchall())
     problems = []
     if names != sql_names:

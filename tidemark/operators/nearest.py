@@ -112,11 +112,14 @@ def _nearest_pivot(pivots: np.ndarray):
 
 def _best(ids: np.ndarray, others: np.ndarray, d: np.ndarray, k: int) -> pd.DataFrame:
     """The k smallest entries of every row of `d`, ties by the other id; infinite entries are left out."""
-    order = np.lexsort((np.broadcast_to(others, d.shape), d), axis=1)[:, :k]
-    near = np.take_along_axis(d, order, axis=1)
-    rows = np.repeat(np.arange(len(ids)), order.shape[1])
-    out = pd.DataFrame({"id": ids[rows], "neighbour": others[order.ravel()], "distance": near.ravel()})
-    return out[np.isfinite(out["distance"])]
+    k = min(k, d.shape[1])
+    edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
+    row, col = np.nonzero((d <= edge) & np.isfinite(d))
+    order = np.lexsort((others[col], d[row, col], row))
+    row, col = row[order], col[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    row, col = row[place < k], col[place < k]
+    return pd.DataFrame({"id": ids[row], "neighbour": others[col], "distance": d[row, col]})
 
 
 def _within_block(k: int):
