@@ -71,8 +71,9 @@ def history_features(
     """Add count and sum per window, seconds since the previous row and ratio to the past mean.
 
     `before` continues from a state instead of from nothing. `hot_rows=None` keeps every key on the
-    single-shuffle route, `hot_rows=0` sends every key through the slices. `mark_late` adds a flag
-    for rows older than their key's state; their gap is zero rather than negative.
+    single-shuffle route, `hot_rows=0` sends every key through the slices; otherwise rows are counted
+    per key first (a scan of the key column) and the second route is planned only if it is needed.
+    `mark_late` adds a flag for rows older than their key's state; their gap is zero rather than negative.
     """
     rows = contributions(df, cols, before)
     return features_of(rows, df.columns, cols, windows, max_gap, hot_rows, slice_seconds, mark_late)
@@ -90,7 +91,7 @@ def features_of(
 ) -> DataFrame:
     """Second half of `history_features`, for callers that keep the output of `contributions`."""
     spans = {name: int(seconds) * MICROS for name, seconds in windows.items()}
-    if hot_rows is None:
+    if hot_rows is None or hot_keys(rows, cols.key, hot_rows).isEmpty():
         seen = _by_key(rows, cols, spans)
     else:
         hot = hot_keys(rows, cols.key, hot_rows)

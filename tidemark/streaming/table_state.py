@@ -28,7 +28,6 @@ from tidemark.operators.history import (
     KeyState,
     contributions,
     features_of,
-    hot_keys,
 )
 from tidemark.operators.state import write_state
 from tidemark.session import path_exists
@@ -65,10 +64,8 @@ class TableStateHistory:
         before = self._state_before(batch, batch_id)
         rows = contributions(batch, self.cols, before).persist()
         try:
-            crowded = self.hot_rows is not None and not hot_keys(rows, self.cols.key, self.hot_rows).isEmpty()
             features = features_of(
-                rows, batch.columns, self.cols, self._windows(), self.max_gap,
-                self.hot_rows if crowded else None, mark_late=True,
+                rows, batch.columns, self.cols, self._windows(), self.max_gap, self.hot_rows, mark_late=True
             )
             out = features if transform is None else transform(features)
             out.write.mode("overwrite").parquet(f"{self.output_path}/batch_id={batch_id}")
