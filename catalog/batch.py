@@ -319,6 +319,12 @@ def skip_limit(spark, sf_dir):
     return rounded(in_time_order(transactions(spark, sf_dir), skip=1000, limit=2000).select("trans_num", "cc_num", "amt"))
 
 
+def skip_rest(spark, sf_dir):
+    """Everything after the first thousand rows; the time is cut to the day, so the border falls into a tie."""
+    rows = transactions(spark, sf_dir, "day")
+    return rounded(in_time_order(rows, skip=1000).select("trans_num", "cc_num", "amt"))
+
+
 def state_totals(spark, sf_dir):
     """Totals of every card after the train and validation periods."""
     return rounded(snapshot(_past(spark, sf_dir)).totals)
@@ -474,6 +480,7 @@ QUERIES: dict[str, Query] = {
     "latency_summary": latency_summary,
     "busiest_card": busiest_card,
     "skip_limit": skip_limit,
+    "skip_rest": skip_rest,
     "state_totals": state_totals,
     "state_recent": state_recent,
     "continued_history": continued_history,

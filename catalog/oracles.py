@@ -401,6 +401,9 @@ ORACLES: dict[str, str] = {
     "skip_limit": with_txn(
         "SELECT trans_num, cc_num, round(amt, 6) AS amt FROM txn ORDER BY trans_date_trans_time, trans_num LIMIT 2000 OFFSET 1000"
     ),
+    "skip_rest": with_txn(
+        "SELECT trans_num, cc_num, round(amt, 6) AS amt FROM txn ORDER BY date_trunc('day', trans_date_trans_time), trans_num OFFSET 1000"
+    ),
     "state_totals": with_txn(
         "SELECT cc_num, max(us) AS last_us, count(*) AS total_count, round(sum(amt), 6) AS total_amount FROM txn "
         "WHERE split <> 'test' GROUP BY cc_num"
