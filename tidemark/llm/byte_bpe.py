@@ -29,9 +29,11 @@ from tidemark.llm.common import text_of
 _WORD_BITS = 6
 #: Words are remembered up to this length; beyond this number a worker forgets those not in use.
 _REMEMBERED_CHARS = 64
-_REMEMBERED = 500_000
+_REMEMBERED = 250_000
 #: Texts of so many characters are merged together.
-_PORTION = 8_000_000
+_PORTION = 3_000_000
+#: Texts of so many lists of ids are put together at a time.
+_LISTS = 256
 
 
 class RankQueue:
@@ -84,6 +86,9 @@ class BytePairs:
             self.ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in lines if line.strip())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
+        in_order = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
+        self.all_bytes = np.frombuffer(b"".join(in_order), dtype="uint8")
+        self.token_bytes = np.cumsum([0, *map(len, in_order)])
         self.queue = RankQueue(max(self.ranks.values()) + 1)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype="int64")
         pairs = {}
@@ -164,11 +169,17 @@ class BytePairs:
             again = np.concatenate([left[inside], back[back >= 0]])
             fresh = self._rank_of(token[again], token[after[again]])
             rank_at[again] = fresh
-            some = fresh >= 0
-            for r, at in zip(fresh[some].tolist(), again[some].tolist()):
-                if r < rank:
-                    odd.add(int(np.searchsorted(ends, at, side="right")))
-                queue.push(r, [at])
+            order = np.argsort(fresh)
+            order = order[np.searchsorted(fresh[order], 0) :]
+            found, again = fresh[order], again[order]
+            if not len(found):
+                continue
+            if found[0] < rank:
+                odd.update(np.searchsorted(ends, again[found < rank], side="right").tolist())
+            edges = [0, *(np.flatnonzero(found[1:] != found[:-1]) + 1).tolist(), len(found)]
+            again = again.tolist()
+            for a, b, r in zip(edges, edges[1:], found[edges[:-1]].tolist()):
+                queue.push(r, again[a:b])
         ids = token[live].astype("<i4")
         counts = np.add.reduceat(live.astype("int64"), starts)
         if odd:
@@ -201,8 +212,12 @@ class BytePairs:
                 del self.known[word]
         return ids
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of lists of ids that end at `ends`, one after the other, and where each list's bytes end."""
+        lengths = self.token_bytes[ids + 1] - self.token_bytes[ids]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.arange(upto[-1]) + np.repeat(self.token_bytes[ids] - upto[:-1], lengths)
+        return self.all_bytes[at].tobytes(), upto[ends]
 
 
 #: White space and the word behind it. Python's white space includes four control characters that the pattern's
@@ -233,6 +248,24 @@ def _loaded(path: str, pattern: str) -> BytePairs:
     return _LOADED[path, pattern]
 
 
+def _ids_array(pairs: BytePairs, texts: list[str]) -> pa.ListArray:
+    found = pairs.encode(texts)
+    offsets = np.cumsum([0, *map(len, found)]).astype("int32")
+    flat = np.concatenate([np.empty(0, dtype="int32"), *found])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+def _bytes_array(pairs: BytePairs, lists: pa.ListArray) -> pa.Array:
+    out = []
+    for start in range(0, len(lists), _LISTS):
+        some = lists.slice(start, _LISTS)
+        ends = np.cumsum(some.value_lengths().to_numpy())
+        joined, upto = pairs.decode(some.flatten().to_numpy(), ends)
+        edges = [0, *upto.tolist()]
+        out.extend(joined[a:b] for a, b in zip(edges, edges[1:]))
+    return pa.array(out, type=pa.binary())
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """All rows and columns of `docs` and the token ids (array of int) of the whole text, as column `ids`.
 
@@ -242,11 +275,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 
     @F.arrow_udf("array<int>")
     def of(texts: pa.Array) -> pa.Array:
-        pairs = _loaded(path, pattern)
-        found = [ids for some in in_portions(texts.to_pylist(), _PORTION) for ids in pairs.encode(some)]
-        offsets = np.cumsum([0, *map(len, found)], dtype="int64")
-        flat = np.concatenate([np.empty(0, dtype="int32"), *found])
-        return pa.ListArray.from_arrays(pa.array(offsets.astype("int32")), pa.array(flat))
+        pairs, out = _loaded(path, pattern), [pa.array([], type=pa.list_(pa.int32()))]
+        out.extend(_ids_array(pairs, some) for some in in_portions(texts.to_pylist(), _PORTION))
+        return pa.concat_arrays(out)
 
     return docs.withColumn(ids, of(text_of(text)))
 
@@ -256,7 +287,24 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", decoded:
 
     @F.arrow_udf("binary")
     def of(lists: pa.Array) -> pa.Array:
-        pairs = _loaded(path, pattern)
-        return pa.array([pairs.decode(x) for x in lists.to_pylist()], type=pa.binary())
+        return _bytes_array(_loaded(path, pattern), lists)
 
     return docs.withColumn(decoded, of(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
+
+
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """What `decode` makes of `encode`, in one visit of the worker: both columns, the bytes decoded from the ids."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def of(texts: pa.Array) -> pa.Array:
+        pairs = _loaded(path, pattern)
+        lists, parts = [pa.array([], type=pa.list_(pa.int32()))], [pa.array([], type=pa.binary())]
+        for some in in_portions(texts.to_pylist(), _PORTION):
+            lists.append(_ids_array(pairs, some))
+            parts.append(_bytes_array(pairs, lists[-1]))
+        return pa.StructArray.from_arrays([pa.concat_arrays(lists), pa.concat_arrays(parts)], names=["ids", "decoded"])
+
+    both = docs.withColumn("_both", of(text_of(text)))
+    return both.withColumns({ids: F.col("_both.ids"), decoded: F.col("_both.decoded")}).drop("_both")

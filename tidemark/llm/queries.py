@@ -32,8 +32,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = byte_bpe.encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    found = byte_bpe.decode(found, path, public_tokenizers.PATTERN)
+    found = byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN)
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
