@@ -12,12 +12,12 @@ The classifier is fitted on the notices below and on at most UNKNOWN paragraphs
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored, text_of
@@ -60,9 +60,12 @@ COMMON = (
     "a all and any are as at be by can except for form forms free from in is it may met no not of on or part person "
     "prior project provided purpose source subject terms that the this to use used v version was with without work you"
 ).split()
+#: The family of all other paragraphs.
 NONE = "none"
 UNKNOWN = 4000
 GRAM_WORDS = 3
+FRAMES = 4
+STEPS = 40
 LASSO = 0.0005
 LEAST = 0.5
 CONFIRMED = 0.6
@@ -87,17 +90,21 @@ def grams_of(words: Column) -> Column:
 
 @dataclass(frozen=True)
 class LicenseModel:
-    """Families (the last is NONE), their intercepts, weights by n-gram, and the calibration of the margin."""
+    """N-grams, their classifier (the last family is NONE), and the calibration of the margin."""
 
     families: tuple[str, ...]
-    intercepts: tuple[float, ...]
-    weights: tuple[tuple[str, tuple[float, ...]], ...]
-    slope: float
-    offset: float
-
-    def pattern(self) -> str:
-        """Matches every lower-case text that holds an n-gram with a weight: their rarest-looking words."""
-        words = {max((w for w in gram.split(" ") if w not in COMMON), key=lambda w: (len(w), w)) for gram, _ in self.weights}
+    vocabulary: CountVectorizerModel
+    classifier: LogisticRegressionModel
+    slope: float = 1.0
+    offset: float = 0.0
+
+    def pattern(self) -> str | None:
+        """Matches every lower-case text that holds an n-gram with a weight, by the longest word of each."""
+        weighted = self.classifier.coefficientMatrix.toArray().any(axis=0)
+        grams = [g for g, has in zip(self.vocabulary.vocabulary, weighted) if has]
+        words = {max((w for w in g.split(" ") if w not in COMMON), key=lambda w: (len(w), w)) for g in grams}
+        if not words:
+            return None
         return r"(?<![\p{L}\p{N}])(?:" + "|".join(sorted(map(re.escape, words))) + r")(?![\p{L}\p{N}])"
 
 
@@ -140,49 +147,41 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", unknown: int =
         near = near | ((F.size("words") >= 3) & (_likeness(F.col("words"), other) >= F.lit(CONFIRMED)))
     clean = some.where(~near)
     plain = clean.select(F.lit(NONE).alias("family"), "words")
+    plain = plain.unionByName(known.limit(1).select(F.lit(NONE).alias("family"), F.slice("words", 1, 0).alias("words")))
     # A notice may stand within other words of its paragraph.
-    frame = clean.where(F.size("words") > 0).orderBy(F.xxhash64("line")).limit(4).select(F.slice("words", 1, 6).alias("frame"))
-    framed = known.crossJoin(F.broadcast(frame)).select("family", F.concat("frame", "words", "frame").alias("words"))
+    turn = F.row_number().over(Window.orderBy("line")).alias("turn")
+    frames = clean.where(F.size("words") > 0).orderBy(F.xxhash64("line")).limit(FRAMES).select(F.slice("words", 1, 6).alias("frame"), turn)
+    turns = known.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(FRAMES))))
+    framed = turns.join(F.broadcast(frames), "turn").select("family", F.concat("frame", "words", "frame").alias("words"))
     rows = plain.unionByName(known.select("family", "words")).unionByName(framed)
-    rows = stored(rows.select("family", grams_of(F.col("words")).alias("grams")).repartition(4), "licence-training")
+    rows = stored(rows.select("family", grams_of(F.col("words")).alias("grams")).repartition(2), "licence-training")
 
     vocabulary = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=1.0)
     vocabulary = vocabulary.fit(known.select(grams_of(F.col("words")).alias("grams")))
-    families = [*dict.fromkeys(f for f, _ in NOTICES), NONE]
+    families = (*dict.fromkeys(f for f, _ in NOTICES), NONE)
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
-    sizes = {r["family"]: r["n"] for r in rows.groupBy("family").agg(F.count(F.lit(1)).alias("n")).collect()}
-    weight = F.element_at(F.create_map(*[v for f, n in sorted(sizes.items()) for v in (F.lit(f), F.lit(1.0 / n))]), F.col("family"))
-    points = vocabulary.transform(rows).select(label.cast("double").alias("label"), weight.alias("weight"), "features", "family", "grams")
-    points = stored(points, "licence-points")
-    fitted = LogisticRegression(weightCol="weight", family="multinomial", elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False).fit(points)
-    matrix = fitted.coefficientMatrix.toArray()
-    rows_of = list(range(matrix.shape[0]))
-    weights = tuple(
-        (gram, tuple(float(matrix[r, i]) for r in rows_of)) for i, gram in enumerate(vocabulary.vocabulary) if any(matrix[:, i])
+    sizes = rows.groupBy("family").agg((1 / F.count(F.lit(1))).alias("weight"))
+    points = vocabulary.transform(rows.join(F.broadcast(sizes), "family"))
+    points = stored(points.select(label.cast("double").alias("label"), "weight", "features", "family").coalesce(2), "licence-points")
+    classifier = LogisticRegression(
+        weightCol="weight", family="multinomial", elasticNetParam=1.0, regParam=lasso, maxIter=STEPS, standardization=False
+    ).fit(points)
+    model = LicenseModel(families, vocabulary, classifier)
+    margins = _scored(points, model).select(
+        (F.col("family") != NONE).cast("double").alias("label"), "weight", array_to_vector(F.array("margin")).alias("features")
     )
-    present = families[: len(rows_of)]
-    raw = LicenseModel(tuple(present), tuple(float(x) for x in fitted.interceptVector.toArray()), weights, 1.0, 0.0)
-    if NONE not in sizes or len(present) < len(families):
-        return raw
-    margins = _scored(points, raw).select((F.col("family") != NONE).cast("double").alias("label"), "weight", array_to_vector(F.array("margin")).alias("features"))
     platt = LogisticRegression(weightCol="weight", family="binomial", regParam=0.001).fit(stored(margins, "licence-margins"))
-    return LicenseModel(raw.families, raw.intercepts, raw.weights, float(platt.coefficients[0]), float(platt.intercept))
+    return replace(model, slope=float(platt.coefficients[0]), offset=float(platt.intercept))
 
 
 def _scored(rows: DataFrame, model: LicenseModel) -> DataFrame:
-    """`rows` (with grams) and best (family), margin (its distance from "none")."""
-    zero = F.array(*[F.lit(x) for x in model.intercepts])
-    if model.weights:
-        table = F.create_map(*[v for g, w in model.weights for v in (F.lit(g), F.array(*[F.lit(x) for x in w]))])
-        own = F.filter(F.transform("grams", lambda g: F.try_element_at(table, g)), lambda w: w.isNotNull())
-        logits = F.aggregate(own, zero, lambda acc, w: F.zip_with(acc, w, lambda a, b: a + b))
-    else:
-        logits = zero
+    """`rows` (with features) and best (family), margin (its distance from "none")."""
+    found = model.classifier.transform(rows).withColumn("_logits", vector_to_array("rawPrediction"))
     known = len(model.families) - 1
-    rows = rows.withColumn("_logits", logits).withColumn("_top", F.array_max(F.slice("_logits", 1, known)))
+    found = found.withColumn("_top", F.array_max(F.slice("_logits", 1, known)))
     best = F.element_at(F.array(*[F.lit(f) for f in model.families]), F.array_position("_logits", F.col("_top")).cast("int"))
     margin = F.col("_top") - F.element_at("_logits", known + 1)
-    return rows.withColumns({"best": best, "margin": margin}).drop("_logits", "_top")
+    return found.withColumns({"best": best, "margin": margin}).select(*rows.columns, "best", "margin")
 
 
 def scan(docs: DataFrame, model: LicenseModel, id: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
@@ -192,9 +191,8 @@ def scan(docs: DataFrame, model: LicenseModel, id: str = "doc_id", text: str = "
     shared words as a share of the shorter text's, confirmed whether that is CONFIRMED or more. Null and empty texts give no
     rows; rows with equal or null ids give their own; other columns play no part, whatever their names.
     """
-    rows = paragraphs(docs, id, text, model.pattern() if model.weights else None)
-    rows = rows.withColumn("words", words_of(F.col("line")))
-    rows = _scored(rows.withColumn("grams", grams_of(F.col("words"))), model)
+    rows = paragraphs(docs, id, text, model.pattern()).withColumn("words", words_of(F.col("line")))
+    rows = _scored(model.vocabulary.transform(rows.withColumn("grams", grams_of(F.col("words")))), model)
     probability = 1 / (1 + F.exp(-(F.col("margin") * F.lit(model.slope) + F.lit(model.offset))))
     rows = rows.withColumn("probability", probability).where(F.col("probability") >= F.lit(least))
     compared = []

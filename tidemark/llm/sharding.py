@@ -22,7 +22,7 @@ _KEY_BITS = 63
 _TEXT_BITS = 40
 _STEP_BITS = 12
 _CELL_BITS = 14
-_CELL_ROWS = 100_000
+_CELL_ROWS = 1000
 
 
 def text_bytes(text: str) -> Column:
