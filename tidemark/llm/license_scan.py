@@ -65,7 +65,7 @@ NONE = "none"
 UNKNOWN = 4000
 GRAM_WORDS = 3
 FRAMES = 4
-STEPS = 40
+STEPS = 25
 LASSO = 0.0005
 LEAST = 0.5
 CONFIRMED = 0.6
@@ -119,6 +119,15 @@ def _likeness(words: Column, other: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.greatest(F.least(F.size(a), F.size(b)), F.lit(1))
 
 
+def _nearest_notice(words: Column) -> Column:
+    all_notices = F.array(*[F.array(*[F.lit(w) for w in _notice_words(n)]) for _, n in NOTICES])
+    return F.array_max(F.transform(all_notices, lambda other: _likeness(words, other)))
+
+
+def _notice_words(notice: str) -> list[str]:
+    return re.findall(r"\w+(?:[.\-]\w+)*", notice.lower())
+
+
 def paragraphs(docs: DataFrame, id: str, text: str, pattern: str | None = None) -> DataFrame:
     """(id, paragraph, line): non-empty paragraphs with their number, those that match the pattern if one is given."""
     rows = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
@@ -140,12 +149,8 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", unknown: int =
     lots = max(1, docs.count() // unknown)
     some = paragraphs(docs.where(F.pmod(F.xxhash64(F.col(id)), F.lit(lots)) == 0), id, text)
     some = some.orderBy(F.xxhash64("line"), "line", "id", "paragraph").limit(unknown)
-    some = stored(some.select("line", words_of(F.col("line")).alias("words")), "licence-unknown")
-    near = F.lit(False)
-    for _, notice in NOTICES:
-        other = F.array(*[F.lit(w.lower()) for w in re.findall(r"\w+(?:[.\-]\w+)*", notice)])
-        near = near | ((F.size("words") >= 3) & (_likeness(F.col("words"), other) >= F.lit(CONFIRMED)))
-    clean = some.where(~near)
+    some = stored(some.select("line", words_of(F.col("line")).alias("words")).coalesce(1), "licence-unknown")
+    clean = some.where((F.size("words") < 3) | (_nearest_notice(F.col("words")) < F.lit(CONFIRMED)))
     plain = clean.select(F.lit(NONE).alias("family"), "words")
     plain = plain.unionByName(known.limit(1).select(F.lit(NONE).alias("family"), F.slice("words", 1, 0).alias("words")))
     # A notice may stand within other words of its paragraph.
@@ -154,7 +159,7 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", unknown: int =
     turns = known.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(FRAMES))))
     framed = turns.join(F.broadcast(frames), "turn").select("family", F.concat("frame", "words", "frame").alias("words"))
     rows = plain.unionByName(known.select("family", "words")).unionByName(framed)
-    rows = stored(rows.select("family", grams_of(F.col("words")).alias("grams")).repartition(2), "licence-training")
+    rows = stored(rows.select("family", grams_of(F.col("words")).alias("grams")).repartition(1), "licence-training")
 
     vocabulary = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=1.0)
     vocabulary = vocabulary.fit(known.select(grams_of(F.col("words")).alias("grams")))
@@ -162,7 +167,7 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", unknown: int =
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
     sizes = rows.groupBy("family").agg((1 / F.count(F.lit(1))).alias("weight"))
     points = vocabulary.transform(rows.join(F.broadcast(sizes), "family"))
-    points = stored(points.select(label.cast("double").alias("label"), "weight", "features", "family").coalesce(2), "licence-points")
+    points = stored(points.select(label.cast("double").alias("label"), "weight", "features", "family").coalesce(1), "licence-points")
     classifier = LogisticRegression(
         weightCol="weight", family="multinomial", elasticNetParam=1.0, regParam=lasso, maxIter=STEPS, standardization=False
     ).fit(points)
@@ -192,12 +197,14 @@ def scan(docs: DataFrame, model: LicenseModel, id: str = "doc_id", text: str = "
     rows; rows with equal or null ids give their own; other columns play no part, whatever their names.
     """
     rows = paragraphs(docs, id, text, model.pattern()).withColumn("words", words_of(F.col("line")))
+    # Written once, so that the words of a long line are not cut out again for each of its n-grams.
+    rows = stored(rows, "licence-lines")
     rows = _scored(model.vocabulary.transform(rows.withColumn("grams", grams_of(F.col("words")))), model)
     probability = 1 / (1 + F.exp(-(F.col("margin") * F.lit(model.slope) + F.lit(model.offset))))
     rows = rows.withColumn("probability", probability).where(F.col("probability") >= F.lit(least))
     compared = []
     for i, (family, notice) in enumerate(NOTICES):
-        other = F.array(*[F.lit(w.lower()) for w in re.findall(r"\w+(?:[.\-]\w+)*", notice)])
+        other = F.array(*[F.lit(w) for w in _notice_words(notice)])
         like = F.when(F.col("best") == F.lit(family), _likeness(F.col("words"), other)).otherwise(F.lit(-1.0))
         compared.append(F.struct(like.alias("likeness"), F.lit(-i).alias("order")))
     rows = rows.withColumn("_like", F.array_max(F.array(*compared)))

@@ -1,7 +1,7 @@
 """Repeated lines, by levelled sorted runs of line keys.
 
 Documents go in batches of rising id. A run is a table of line keys and the first document of each, bucketed
-and sorted by key, so reading it back needs neither a shuffle nor a sort. Each batch is grouped by key once and
+and sorted by key, so reading it back needs no shuffle and sorting it finds it sorted. Each batch is grouped by key once and
 merge-joined with the runs: keys found there come from an earlier document, the others become a new run of
 level 0. Two runs of one level are merged into one run of the next level, again without a shuffle, so a key is
 rewritten a logarithmic number of times and a batch meets a logarithmic number of runs. A `LineRuns` can be kept
@@ -77,7 +77,7 @@ class LineRuns:
                 return
             left, right = self.spark.table(level.pop()), self.spark.table(name)
             # The keys of two runs are disjoint.
-            merged = left.join(right.withColumnRenamed("first", "_right"), _KEY, "full")
+            merged = left.join(right.withColumnRenamed("first", "_right").hint("merge"), _KEY, "full")
             name = self._written(merged.withColumn("first", F.coalesce("first", "_right")))
         self.levels.append([name])
 
@@ -86,7 +86,8 @@ class LineRuns:
         keys = rows.groupBy(*_KEY).agg(F.min("doc").alias("_first"), F.count(F.lit(1)).alias("n"))
         firsts: list[Column] = []
         for i, name in enumerate(run for level in self.levels for run in level):
-            keys = keys.join(self.spark.table(name).withColumnRenamed("first", f"_run{i}"), _KEY, "left")
+            run = self.spark.table(name).withColumnRenamed("first", f"_run{i}")
+            keys = keys.join(run.hint("merge"), _KEY, "left")
             firsts.append(F.col(f"_run{i}"))
         earlier = F.coalesce(*firsts, F.lit(None).cast("long"))
         keys = stored(keys.select(*_KEY, "n", "_first", earlier.alias("_earlier")), "batch-keys")

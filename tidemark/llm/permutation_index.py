@@ -23,7 +23,9 @@ from tidemark.llm.common import stored
 
 PIVOTS = 256
 PREFIX = 64
-SHARE = 0.12
+SHARE = 0.15
+#: Rows of a block that are compared exactly at least.
+LEAST_COMPARED = 512
 NEIGHBOURS = 20
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 2_048
@@ -143,7 +145,7 @@ def nearest_neighbours(
     found = (
         guest.groupBy("block", "batch")
         .cogroup(host.groupBy("block", "batch"))
-        .applyInPandas(_search(centre, prefix, share, k, 4 * k), "query long, vec array<long>, score array<double>")
+        .applyInPandas(_search(centre, prefix, share, k, LEAST_COMPARED), "query long, vec array<long>, score array<double>")
     )
     flat = found.select("query", F.explode(F.arrays_zip("score", "vec")).alias("r"))
     flat = flat.select(F.col("query").alias("query_id"), F.col("r.vec").alias("vec_id"), F.col("r.score").alias("score"))
