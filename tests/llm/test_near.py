@@ -64,7 +64,8 @@ def near_copies(seed, families=12, members=18):
 def test_against_brute_force(spark, monkeypatch, size, percent, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     monkeypatch.setattr(ngram_join, "WIDE", 5)
-    monkeypatch.setattr(ngram_join, "_LOCAL_COUNT", 8)
+    monkeypatch.setattr(ngram_join, "LANE", 3)
+    monkeypatch.setattr(ngram_join, "GUESTS", 2)
     rows = near_copies(size)
     found = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=size, percent=percent)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str)

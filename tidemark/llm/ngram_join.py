@@ -1,16 +1,17 @@
 """Joining documents by the Jaccard similarity of their word shingles, with a token-group matrix.
 
-1. Equal sets are one class. Every class is put into a group of classes that are likely alike (same smallest
-   token under a second hash); large groups are cut into blocks.
-2. All tokens have one order: rare ones first. Two sets that qualify share a token among the first n - ceil(t n) + 1
-   of each ("prefix"). The matrix holds (token, group) for the union of the prefixes in a group, so a
-   family of near copies costs a row per block, not per document.
-3. Two groups that share a token in the matrix are compared by sizes and by the number of shared entries, which
+1. Equal sets are one class. All tokens have one order: rare ones first, frequent ones last.
+2. Every class is put into a group of classes that are likely alike: similar size, same smallest token under a second
+   hash (among the frequent tokens, if they are most of the set, so that edits do not scatter a family of copies).
+   Large groups are cut into blocks.
+3. Two sets that qualify share a token among the first n - ceil(t n) + 1 of each ("prefix"). The matrix holds
+   (token, group) for the union of the prefixes in a group, so a family of near copies costs a row per block.
+4. Two groups that share a token in the matrix are compared by sizes and by the number of shared entries, which
    bounds the overlap of any two members. Only the token sets of groups that pass are fetched.
-4. For these, the overlap of each member with the token union of the other group bounds all its similarities; only
-   the members that reach the threshold are compared, exactly. A pair of groups returns links that span what
-   it has found, not every pair.
-5. Connected components of the links, spread to all members of the classes.
+5. The larger group of a pair is visited by the members of the smaller one. The overlap with the token union of
+   the group bounds all similarities of a visitor; only visitors that reach the threshold are compared, exactly. A
+   group returns links that span what it has found, not every pair.
+6. Connected components of the links, spread to all members of the classes.
 
 The order of tokens only steers the work: frequent tokens are found by counting in every task over all documents,
 and at most LISTED of them are put last. Tokens are 64-bit hashes of shingles, and a class is told by 64 bits of
@@ -32,17 +33,22 @@ from tidemark.llm.common import attach_left, cell_filter, filter_bits, in_filter
 
 WORDS = 5
 PERCENT = 80
-LISTED = 1 << 17
-#: Groups of more classes are cut into blocks.
-BLOCK = 256
+LISTED = 1 << 18
+#: Groups of more classes or tokens are cut into blocks.
+BLOCK = 512
+BLOCK_TOKENS = 400_000
+#: So many visitors of a group go to one task, and so many are compared at a time.
+LANE = 4096
+GUESTS = 512
 #: A token in the prefixes of more groups is put last and the prefixes are taken again, at most ROUNDS times in all.
 WIDE = 256
 ROUNDS = 3
 MAX_BITS = 28
 _LOCAL_TOKENS = 4_000_000
-_LOCAL_COUNT = 4
+_LOCAL_COUNT = 2
 _VOCABULARY = 8192
 _REMEMBERED = 1_000_000
+_BAND = 0.15
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _PRIME = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -81,8 +87,11 @@ def _set_id(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-def _family(tokens: np.ndarray) -> int:
-    return int(_mixed(tokens ^ _GOLD).min().astype("int64"))
+def _family(tokens: np.ndarray, size: int) -> int:
+    """Smallest token under another order, and a band of sizes: sets far apart in size cannot qualify anyway."""
+    least = _mixed(tokens ^ _GOLD).min(keepdims=True)
+    band = np.array([np.log(size) / _BAND]).astype("uint64")
+    return int(_mixed(least + band * _GOLD).view("int64")[0])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list[np.ndarray]]]:
@@ -112,7 +121,6 @@ def _describe(size: int):
                 doc=(blank, pa.int64()),
                 sid=(tokens.view("int64"), pa.int64()),
                 n=(counts, pa.int64()),
-                fam=(blank, pa.int64()),
             )
 
         waiting = 0
@@ -128,7 +136,6 @@ def _describe(size: int):
                 doc=(docs, pa.int64()),
                 sid=(sids, pa.int64()),
                 n=([len(s) for s in sets], pa.int64()),
-                fam=([_family(s) if len(s) else 0 for s in sets], pa.int64()),
             )
             if waiting >= _LOCAL_TOKENS:
                 yield frequent()
@@ -143,10 +150,14 @@ def _least(n, percent: int):
     return -(-percent * n // 100)
 
 
-def _prefixes(size: int, percent: int, listed: np.ndarray, rank: np.ndarray):
-    """(token, sid, fam) for the first tokens of each set; `listed` is sorted, `rank` its place among the last."""
+def _prefixes(size: int, percent: int, order):
+    """(token, sid, fam) for the first tokens of each set, and one row without a token for the set itself.
+
+    `order` has the tokens that come last, sorted, and the place of each among them.
+    """
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed, rank = order.value
         for _, sets in _sets(batches, size):
             out, sids, fams, counts, seen = [], [], [], [], set()
             for tokens in sets:
@@ -155,25 +166,27 @@ def _prefixes(size: int, percent: int, listed: np.ndarray, rank: np.ndarray):
                     continue
                 seen.add(sid)
                 wanted = len(tokens) - _least(len(tokens), percent) + 1
+                first = common = tokens
                 if len(listed):
                     at = np.minimum(np.searchsorted(listed, tokens), len(listed) - 1)
                     late = listed[at] == tokens
-                    first = tokens[~late]
+                    first, behind = tokens[~late], at[late]
+                    if 2 * len(behind) > len(tokens):
+                        common = tokens[late]
                     if len(first) < wanted:
-                        behind = at[late]
                         first = np.concatenate([first, listed[behind[np.argsort(rank[behind])]]])
-                else:
-                    first = tokens
                 out.append(first[:wanted])
                 sids.append(sid)
-                fams.append(_family(tokens))
+                fams.append(_family(common, len(tokens)))
                 counts.append(wanted)
-            flat = np.concatenate([np.empty(0, dtype="uint64"), *out])
+            flat = np.concatenate([np.empty(0, dtype="uint64"), *out]).view("int64")
+            sids, fams = np.array(sids, dtype="int64"), np.array(fams, dtype="int64")
             yield _batch(
-                token=(flat.view("int64"), pa.int64()),
-                sid=(np.repeat(np.array(sids, dtype="int64"), counts), pa.int64()),
-                fam=(np.repeat(np.array(fams, dtype="int64"), counts), pa.int64()),
+                token=(pa.array(flat), pa.int64()),
+                sid=(np.repeat(sids, counts), pa.int64()),
+                fam=(np.repeat(fams, counts), pa.int64()),
             )
+            yield _batch(token=([None] * len(sids), pa.int64()), sid=(sids, pa.int64()), fam=(fams, pa.int64()))
 
     return take
 
@@ -279,22 +292,24 @@ def links_between(
 
 
 def _open(percent: int):
-    """Rows come sorted by pair of groups; one pair is held at a time."""
+    """Rows come sorted by group and lane, members (side 0) before visitors; one group is held at a time."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple = (None, None)
-        sides: tuple[list, list] = ([], [])
+        hosts: list[tuple[int, np.ndarray]] = []
+        guests: list[tuple[int, np.ndarray]] = []
         found: list[tuple[int, int]] = []
 
+        def receive() -> None:
+            if hosts and guests:
+                found.extend(links_between(guests, hosts, percent))
+            guests.clear()
+
         def close() -> None:
-            a, b = held
-            if a is not None:
-                if a == b:
-                    found.extend(links_between(sides[0], None, percent))
-                elif sides[0] and sides[1]:
-                    found.extend(links_between(sides[0], sides[1], percent))
-            sides[0].clear()
-            sides[1].clear()
+            receive()
+            if held[1] == 0 and len(hosts) > 1:
+                found.extend(links_between(hosts, None, percent))
+            hosts.clear()
 
         def out() -> pa.RecordBatch:
             u, v = [max(x) for x in found], [min(x) for x in found]
@@ -302,11 +317,13 @@ def _open(percent: int):
             return _batch(u=(u, pa.int64()), v=(v, pa.int64()))
 
         for batch in batches:
-            for a, b, side, sid, tokens in zip(*(c.to_pylist() for c in batch.columns)):
-                if (a, b) != held:
+            for host, lane, side, sid, tokens in zip(*(c.to_pylist() for c in batch.columns)):
+                if (host, lane) != held:
                     close()
-                    held = (a, b)
-                sides[side].append((sid, np.frombuffer(tokens, dtype="uint64")))
+                    held = (host, lane)
+                (guests if side else hosts).append((sid, np.frombuffer(tokens, dtype="uint64")))
+                if len(guests) >= GUESTS:
+                    receive()
             yield out()
         close()
         yield out()
@@ -355,74 +372,87 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id).cast("long").alias("doc"), text_of(text).alias("text"))
-    described = stored(rows.mapInArrow(_describe(words), "is_doc boolean, doc long, sid long, n long, fam long"), "sets")
-    members = described.where("is_doc").select("doc", "sid", "n", "fam")
+    described = stored(rows.mapInArrow(_describe(words), "is_doc boolean, doc long, sid long, n long"), "sets")
+    members = described.where("is_doc").select("doc", "sid", "n")
     held = members.where("n > 0")
     total = members.count()
 
-    classes = held.groupBy("sid").agg(
-        F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("fam").alias("fam")
-    )
-    classes = stored(classes, "classes")
-    large = classes.groupBy("fam").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")).where("parts > 1")
-    large = stored(large, "large-families")
-
-    def grouped(df: DataFrame) -> DataFrame:
-        part = F.coalesce(F.pmod(F.xxhash64("sid"), "parts"), F.lit(0))
-        return df.join(large, "fam", "left").withColumn("gid", F.xxhash64("fam", part)).drop("fam", "parts")
-
-    classes = stored(grouped(classes), "grouped-classes")
-    groups = classes.groupBy("gid").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("k"))
-    groups = stored(groups, "groups")
-
     frequent = described.where("not is_doc").groupBy(F.col("sid").alias("token")).agg(F.sum("n").alias("df"))
     # At most LISTED tokens, whatever the size of the corpus.
-    listed = [(r["token"], r["df"]) for r in frequent.orderBy(F.desc("df"), "token").limit(LISTED).collect()]
+    listed = {r["token"]: r["df"] for r in frequent.orderBy(F.desc("df"), "token").limit(LISTED).collect()}
+    sets = held.groupBy("sid").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    sets = stored(sets, "classes")
     for turn in range(ROUNDS):
-        order = np.array([t for t, _ in sorted(listed, key=lambda x: (x[1], x[0]))], dtype="int64").view("uint64")
+        order = np.array(sorted(listed, key=lambda t: (listed[t], t)), dtype="int64").view("uint64")
         place = np.argsort(order)
-        prefixes = rows.mapInArrow(_prefixes(words, percent, order[place], place), "token long, sid long, fam long")
-        matrix = grouped(prefixes).select("token", "gid").distinct()
+        shared = spark.sparkContext.broadcast((order[place], place))
+        prefixes = rows.mapInArrow(_prefixes(words, percent, shared), "token long, sid long, fam long")
+        prefixes = stored(prefixes, "prefixes")
+        families = prefixes.where("token is null").groupBy("sid").agg(F.first("fam").alias("fam"))
+        classes = stored(sets.join(families, "sid"), "families")
+        large = classes.groupBy("fam").agg(
+            F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).alias("parts")
+        )
+        large = stored(large.where("parts > 1"), "large-families")
+
+        def grouped(df: DataFrame) -> DataFrame:
+            part = F.coalesce(F.pmod(F.xxhash64("sid"), "parts"), F.lit(0))
+            return df.join(large, "fam", "left").withColumn("gid", F.xxhash64("fam", part)).drop("fam", "parts")
+
+        matrix = grouped(prefixes.where("token is not null")).select("token", "gid").distinct()
         breadth = F.count(F.lit(1)).over(Window.partitionBy("token")).alias("breadth")
         matrix = stored(matrix.select("token", "gid", breadth).where("breadth > 1"), "matrix")
         if turn + 1 == ROUNDS or len(listed) >= LISTED:
             break
         wide = matrix.where(F.col("breadth") > WIDE).groupBy("token").agg(F.first("breadth").alias("df"))
-        wide = wide.orderBy(F.desc("df"), "token").limit(LISTED - len(listed)).collect()
-        fresh = {r["token"]: r["df"] for r in wide} | {}
-        fresh = [(t, n) for t, n in fresh.items() if t not in dict(listed)]
+        wide = wide.orderBy(F.desc("df"), "token").limit(LISTED).collect()
+        fresh = {r["token"]: r["df"] for r in wide if r["token"] not in listed}
         if not fresh:
             break
-        listed += fresh
+        listed |= dict(list(fresh.items())[: LISTED - len(listed)])
 
+    classes = stored(grouped(classes), "grouped-classes")
+    groups = classes.groupBy("gid").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("k"))
+    groups = stored(groups, "groups")
     one, other = matrix.select("token", F.col("gid").alias("a")), matrix.select("token", F.col("gid").alias("b"))
     pairs = one.join(other, "token").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"))
-    stats = groups.select(F.col("gid").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"))
-    pairs = pairs.join(stats, "a").join(stats.toDF("b", "lo_b", "hi_b"), "b")
+    pairs = pairs.join(groups.toDF("a", "lo_a", "hi_a", "k_a"), "a").join(groups.toDF("b", "lo_b", "hi_b", "k_b"), "b")
     # Beyond the shared entries two sets can only share what follows the prefix of one of them. The bound is
     # loosest for the largest and the smallest size that may meet.
     hi = F.greatest("hi_a", "hi_b")
     lo = F.greatest(F.least("lo_a", "lo_b"), _least_sql(hi, percent))
     bound = F.col("hits") + _least_sql(hi, percent) + 1
-    pairs = pairs.where((F.col("hi_a") * 100 >= F.col("lo_b") * percent) & (F.col("hi_b") * 100 >= F.col("lo_a") * percent))
-    pairs = pairs.where(bound * (100 + percent) >= (hi + lo) * percent).select("a", "b")
-    pairs = stored(pairs.unionByName(groups.where("k > 1").select(F.col("gid").alias("a"), F.col("gid").alias("b"))), "pairs")
-
-    visits = pairs.select("a", "b", F.lit(0).alias("side"), F.col("a").alias("gid")).unionByName(
-        pairs.where("a <> b").select("a", "b", F.lit(1).alias("side"), F.col("b").alias("gid"))
+    meet = (F.col("hi_a") * 100 >= F.col("lo_b") * percent) & (F.col("hi_b") * 100 >= F.col("lo_a") * percent)
+    pairs = pairs.where(meet & (bound * (100 + percent) >= (hi + lo) * percent))
+    stays = (F.col("k_a") > F.col("k_b")) | ((F.col("k_a") == F.col("k_b")) & (F.col("a") < F.col("b")))
+    pairs = pairs.select(
+        F.when(stays, F.col("a")).otherwise(F.col("b")).alias("host"),
+        F.when(stays, F.col("b")).otherwise(F.col("a")).alias("guest"),
+        F.least("k_a", "k_b").alias("visitors"),
     )
-    wanted = classes.join(visits.select("gid").distinct(), "gid", "left_semi")
+    pairs = stored(pairs, "pairs")
+    lanes = pairs.groupBy("host").agg(F.ceil(F.sum("visitors") / LANE).alias("lanes"))
+    alone = groups.where("k > 1").select(F.col("gid").alias("host"), F.lit(1).cast("long").alias("lanes"))
+    lanes = stored(lanes.unionByName(alone).groupBy("host").agg(F.max("lanes").alias("lanes")), "lanes")
+
+    needed = lanes.select(F.col("host").alias("gid")).unionByName(pairs.select(F.col("guest").alias("gid"))).distinct()
+    wanted = classes.join(needed, "gid", "left_semi")
     wanted = stored(wanted.select("sid", "gid", F.coalesce("rep", F.lit(0)).alias("doc")), "wanted")
     bits = filter_bits(wanted.count(), MAX_BITS)
     keys = wanted.select("doc", "sid").mapInPandas(_rep_keys, "h long")
-    shared = spark.sparkContext.broadcast(cell_filter(keys, "h", bits))
+    found_in = spark.sparkContext.broadcast(cell_filter(keys, "h", bits))
     named = rows.select(F.coalesce("doc", F.lit(0)).alias("doc"), "text")
-    fetched = named.mapInArrow(_fetch(words, shared, bits), "sid long, tokens binary")
-    opened = fetched.join(wanted.select("sid", "gid"), "sid").dropDuplicates(["sid"])
-    opened = stored(opened, "opened-sets")
+    fetched = named.mapInArrow(_fetch(words, found_in, bits), "sid long, tokens binary")
+    opened = stored(fetched.join(wanted.select("sid", "gid"), "sid").dropDuplicates(["sid"]), "opened-sets")
+    at_home = opened.join(lanes, F.col("gid") == F.col("host")).select(
+        "host", F.explode(F.sequence(F.lit(0), (F.col("lanes") - 1).cast("int"))).alias("lane"), F.lit(0).alias("side"), "sid", "tokens"
+    )
+    lane = F.pmod(F.xxhash64("sid"), "lanes").cast("int").alias("lane")
+    visiting = pairs.join(lanes, "host").join(opened, F.col("gid") == F.col("guest"))
+    visiting = visiting.select("host", lane, F.lit(1).alias("side"), "sid", "tokens")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = visits.join(opened, "gid").select("a", "b", "side", "sid", "tokens")
-    dealt = dealt.repartition(tasks, "a", "b").sortWithinPartitions("a", "b", "side", "sid")
+    dealt = at_home.unionByName(visiting).repartition(tasks, "host", "lane")
+    dealt = dealt.sortWithinPartitions("host", "lane", "side", "sid")
     found = components(dealt.mapInArrow(_open(percent), "u long, v long"))
 
     linked = classes.join(found, F.col("sid") == F.col("node"), "left")
