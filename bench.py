@@ -51,7 +51,6 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     consume(batch.card_history(spark, sf_dir.rsplit("/", 1)[0] + "/sf0.001"))
     seconds, rows = {}, {}
     for name, query in HEADLINE.items():
@@ -66,7 +65,6 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "rows": rows,
-                "input_rows_per_sec": {name: round(events / s) for name, s in seconds.items()},
                 "sf": sf_dir.rsplit("sf", 1)[-1],
                 "cpus": int(cpus),
             }

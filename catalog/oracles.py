@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from catalog.fixture import TXN_SQL
+from tidemark.schemas import DRIFT_NUMERIC
 
 HOUR, DAY = 3_600_000_000, 86_400_000_000
 TIES = "epoch_us(date_trunc('hour', trans_date_trans_time))"
@@ -154,18 +155,13 @@ def describe_sql(value: str, source: str, group: str | None = None) -> str:
     """
 
 
-DRIFT_NUMERIC = ["amt", "age_years", "distance_km", "card_txn_count_24h", "card_amt_sum_24h", "amt_vs_card_mean",
-                 "seconds_since_last_txn", "hour"]
-
-
-def numeric_drift_sql(source: str, numeric: list[str], week: str = "week", is_ref: str = "split = 'train'",
-                      weeks: str = "'2024-01-15', '2024-01-22'") -> str:
+def numeric_drift_sql(source: str, numeric: list[str], week: str = "week", is_ref: str = "split = 'train'") -> str:
     long = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value, {is_ref} AS is_ref, {week} AS week FROM {source}" for f in numeric
     )
     return f"""
     long AS ({long}),
-    weeks AS (SELECT unnest([{weeks}]) AS wk),
+    weeks AS (SELECT DISTINCT {week} AS wk FROM {source} WHERE NOT ({is_ref})),
     pool AS (SELECT feature, wk, value, count(*) FILTER (is_ref) AS r, count(*) FILTER (NOT is_ref) AS c
              FROM long, weeks WHERE is_ref OR week = wk GROUP BY ALL),
     walk AS (SELECT *, sum(r) OVER u / sum(r) OVER a::DOUBLE AS fr, sum(c) OVER u / sum(c) OVER a::DOUBLE AS fc,
@@ -177,14 +173,13 @@ def numeric_drift_sql(source: str, numeric: list[str], week: str = "week", is_re
     """
 
 
-def categorical_drift_sql(source: str, categorical: list[str], week: str = "week", is_ref: str = "split = 'train'",
-                          weeks: str = "'2024-01-15', '2024-01-22'") -> str:
+def categorical_drift_sql(source: str, categorical: list[str], week: str = "week", is_ref: str = "split = 'train'") -> str:
     long = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS value, {is_ref} AS is_ref, {week} AS week FROM {source}" for f in categorical
     )
     return f"""
     clong AS ({long}),
-    cweeks AS (SELECT unnest([{weeks}]) AS wk),
+    cweeks AS (SELECT DISTINCT {week} AS wk FROM {source} WHERE NOT ({is_ref})),
     cpool AS (SELECT feature, wk, value, count(*) FILTER (is_ref) AS r, count(*) FILTER (NOT is_ref) AS c
              FROM clong, cweeks WHERE is_ref OR week = wk GROUP BY ALL),
     shares AS (SELECT feature, wk, r / sum(r) OVER a::DOUBLE AS p, c / sum(c) OVER a::DOUBLE AS q
@@ -207,13 +202,12 @@ INJECT_ALL = INJECTED.replace("split <> 'train' AND ", "")
 ALL_DISTANCES = "dist AS (SELECT * FROM numeric_drift UNION ALL SELECT * FROM categorical_drift)"
 NIGHT_AND_CATEGORY = ["is_night", "category"]
 
-WEEKLY_WEEKS = "'2024-01-15', '2024-01-22'"
 REPORT = [
     TXN_SQL.strip(), FEATURED, INJECTED,
     "judged AS (SELECT week AS wk, count(*) AS transactions, avg(is_fraud) AS rate FROM moved WHERE split <> 'train' "
     "GROUP BY week HAVING count(*) >= 1000 AND sum(is_fraud) >= 5)",
-    numeric_drift_sql("moved", [*DRIFT_NUMERIC, "score"], weeks=WEEKLY_WEEKS),
-    categorical_drift_sql("moved", NIGHT_AND_CATEGORY, weeks=WEEKLY_WEEKS),
+    numeric_drift_sql("moved", [*DRIFT_NUMERIC, "score"]),
+    categorical_drift_sql("moved", NIGHT_AND_CATEGORY),
     ALL_DISTANCES,
     "per AS (SELECT \"window\" AS wk, avg((distance >= 0.1)::INT) FILTER (feature <> 'score') AS share, "
     "max(distance) FILTER (feature = 'score') AS score_d, max(distance) FILTER (feature = 'amt') AS amt_d FROM dist GROUP BY ALL)",
@@ -231,7 +225,6 @@ DATASET_COLUMNS = (
     + HISTORY_COLUMNS + ", category"
 )
 
-SHIP_YEARS = ", ".join(f"'{y}'" for y in range(1996, 2002))
 SHIPPED = ("shipped AS (SELECT *, year(l_shipdate) = 1995 AS ref, CAST(year(l_shipdate) AS VARCHAR) AS yr FROM lineitem)")
 
 LAST = "last AS (SELECT cc_num AS k, max(us) AS last_us FROM txn WHERE split <> 'test' GROUP BY cc_num)"
@@ -298,7 +291,7 @@ ORACLES: dict[str, str] = {
     ),
     "rate_by_month": """
         WITH kept AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, (o_orderpriority = '1-URGENT')::INT AS y
-                      FROM orders WHERE month(o_orderdate) % 3 <> 0),
+                      FROM orders),
              cal AS (SELECT CAST(unnest(generate_series((SELECT min(m) FROM kept)::TIMESTAMP, (SELECT max(m) FROM kept)::TIMESTAMP, INTERVAL 1 MONTH)) AS DATE) AS m)
         SELECT CAST(cal.m AS VARCHAR) AS month, count(y) AS count, round(avg(y), 6) AS mean, round(100 * avg(y), 6) AS fraud_rate_pct
         FROM cal LEFT JOIN kept ON cal.m = kept.m GROUP BY cal.m""",
@@ -444,8 +437,8 @@ ORACLES: dict[str, str] = {
     ),
     "drift_lineitem": "WITH " + ", ".join([
         SHIPPED,
-        numeric_drift_sql("shipped", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "yr", "ref", SHIP_YEARS),
-        categorical_drift_sql("shipped", ["l_returnflag", "l_linestatus"], "yr", "ref", SHIP_YEARS),
+        numeric_drift_sql("shipped", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "yr", "ref"),
+        categorical_drift_sql("shipped", ["l_returnflag", "l_linestatus"], "yr", "ref"),
         ALL_DISTANCES,
     ]) + ' SELECT "window", feature, round(distance, 6) AS distance FROM dist',
     "weekly_alerts": "WITH " + ", ".join(REPORT) + " SELECT * FROM report",
@@ -485,8 +478,7 @@ ORACLES |= {
         f"SELECT {iso(HOUR_START)} AS window_start, {DECISION} AS decision, count(*) AS n FROM txn GROUP BY ALL"
     ),
     "label_join_stream": with_txn(
-        "SELECT CAST(trans_num AS VARCHAR) AS transaction_id, CASE WHEN trans_num % 3 <> 0 THEN is_fraud END AS is_fraud FROM txn "
-        "WHERE trans_date_trans_time < TIMESTAMP '2024-01-25'"
+        "SELECT CAST(trans_num AS VARCHAR) AS transaction_id, CASE WHEN trans_num % 3 <> 0 THEN is_fraud END AS is_fraud FROM txn"
     ),
 }
 

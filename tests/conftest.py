@@ -10,7 +10,7 @@ for folder in (ROOT, ROOT / "tests"):
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidemark.session import ROCKSDB, prepare_session
 
     session = (
@@ -20,6 +20,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .getOrCreate()
     )

@@ -14,9 +14,13 @@ def con():
     return connect(SF)
 
 
+# Queries of the corpus operators that SQL cannot express; their own tests hold them against brute force.
+CORPUS = {q for q in ENTRY.CORPUS if q not in ENTRY.CORPUS_ORACLES}
+
+
 def test_every_query_with_a_fixed_answer_has_sql():
     weaker = set(ENTRY.queries()) - set(ENTRY.oracle_sql())
-    assert weaker == {"sample_fraction", "train_compare", "imbalance_compare", "ablation", "random_search", "importance", "score_batch"}
+    assert weaker == {"sample_fraction", "train_compare", "imbalance_compare", "ablation", "random_search", "importance", "score_batch"} | CORPUS
     assert set(ENTRY.oracle_sql()) <= set(ENTRY.queries())
 
 

@@ -7,7 +7,7 @@ from samples import random_rows, txns
 from tidemark.columns import DEFAULT
 from tidemark.functions.rules import alerts_feed, decide, split_valid, with_violations
 from tidemark.functions.scalars import haversine_km, iso_time
-from tidemark.operators.clean import _between_positions, clean, in_time_order, to_event, to_label_event
+from tidemark.operators.clean import _between_positions, clean, in_time_order, time_split, to_event, to_label_event
 from tidemark.plans.dataset import build_dataset
 from tidemark.schemas import EVENT_SCHEMA, FEATURES, PII_COLUMNS, RAW_SCHEMA
 from tidemark.sources.readers import load_raw, load_split, load_transactions
@@ -135,3 +135,13 @@ def test_positions_without_a_single_task(spark, skip, limit):
     if skip or limit:
         rest = _between_positions(df, skip, limit, DEFAULT).orderBy("trans_date_trans_time", "trans_num").collect()
         assert [r["trans_num"] for r in rest] == want
+
+
+def test_rows_without_a_time(spark):
+    rows = [("a", None, "train"), ("b", datetime(2019, 5, 1), "train"), ("c", datetime(2020, 5, 1), "train"), ("d", None, "test")]
+    df = spark.createDataFrame(rows, "trans_num string, trans_date_trans_time timestamp_ntz, source string")
+    splits = {r["trans_num"]: r["split"] for r in time_split(df).collect()}
+    assert splits == {"a": None, "b": "train", "c": "val", "d": "test"}
+    assert [r["trans_num"] for r in in_time_order(df, 1, 2).collect()] == ["d", "b"]
+    assert [r["trans_num"] for r in in_time_order(df, 0, 3).collect()] == ["a", "d", "b"]
+    assert [r["trans_num"] for r in in_time_order(df, 3).collect()] == ["c"]

@@ -112,9 +112,9 @@ def backfill(spark: SparkSession, a) -> DataFrame:
 
 
 def verify_parity(spark: SparkSession, a) -> DataFrame:
-    """First rows of the test period: features continued from the state against the stored ones."""
+    """Rows of the test period (the first n, if given): features continued from the state against the stored ones."""
     test = load_split(spark, a.data, "test", [*STATE_COLUMNS, *HISTORY_FEATURES])
-    first = stored(in_time_order(test, limit=a.n), "parity")
+    first = stored(in_time_order(test, limit=a.n or None), "parity")
     state = snapshot(load_split(spark, a.data, ["train", "val"], STATE_COLUMNS))
     online = history_features(first.select(*STATE_COLUMNS), before=state)
     return parity_report(online, first, DEFAULT.id, HISTORY_FEATURES)
@@ -234,10 +234,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     sub = job(replay, "test")
     sub.add_argument("--out")
     sub.add_argument("--bootstrap")
-    sub.add_argument("--limit", type=int, default=2000, help="0 for all rows")
+    sub.add_argument("--limit", type=int, default=0, help="0 for all rows")
     sub.add_argument("--skip", type=int, default=0)
     job(backfill, "data", "state")
-    job(verify_parity, "data").add_argument("--n", type=int, default=5000)
+    job(verify_parity, "data").add_argument("--n", type=int, default=0, help="0 for all rows")
     for run, needed in ((stream_features, ()), (stream_scores, ("registry",))):
         sub = job(run, "out", "checkpoint", *needed)
         sub.add_argument("--input", help="folder of JSON lines")

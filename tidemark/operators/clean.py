@@ -54,24 +54,27 @@ def tagged_union(sources: dict[str, DataFrame], tag: str = "source") -> DataFram
 def time_split(
     df: DataFrame, validation_start: str = VALIDATION_START, cols: TxnColumns = DEFAULT, source: str = "source"
 ) -> DataFrame:
-    """Add `split`: the test source as a whole, the rest cut at `validation_start` (which is validation)."""
+    """Add `split`: the test source as a whole, the rest cut at `validation_start` (which is validation).
+
+    Rows without a time belong to no split (null), unless their source is the test source.
+    """
     cut = F.lit(validation_start).cast("timestamp_ntz")
     return df.withColumn(
         "split",
-        F.when(F.col(source) == "test", F.lit("test")).when(F.col(cols.time) < cut, F.lit("train")).otherwise(F.lit("val")),
+        F.when(F.col(source) == "test", F.lit("test"))
+        .when(F.col(cols.time) < cut, F.lit("train"))
+        .when(F.col(cols.time) >= cut, F.lit("val")),
     )
 
 
-# Up to this many rows a plain sort with offset and limit is kept; Spark gathers them in one task.
-TOP_ROWS = 1_000_000
+# Stands for a missing time: before all others, as in Spark's ascending order, and exact as a double.
+_NO_TIME = -(1 << 53)
 
 
 def in_time_order(df: DataFrame, skip: int = 0, limit: int | None = None, cols: TxnColumns = DEFAULT) -> DataFrame:
-    """Rows by (time, id) after skipping `skip` of them; all remaining rows unless limited."""
+    """Rows by (time, id) after skipping `skip` of them; all remaining rows unless limited. Null times come first."""
     if skip == 0 and limit is None:
         return df.orderBy(cols.time, cols.id)
-    if limit is not None and skip + limit <= TOP_ROWS:
-        return df.orderBy(cols.time, cols.id).offset(skip).limit(limit)
     return _between_positions(df, skip, limit, cols).orderBy(cols.time, cols.id)
 
 
@@ -82,7 +85,7 @@ def _between_positions(df: DataFrame, skip: int, limit: int | None, cols: TxnCol
     a border falls are numbered.
     """
     stop = 2**62 if limit is None else skip + limit
-    timed = df.withColumn("_us", epoch_us(F.col(cols.time)))
+    timed = df.withColumn("_us", F.coalesce(epoch_us(F.col(cols.time)), F.lit(_NO_TIME)))
     line = running_totals(timed.select("_us"), "_us", {"n": F.count(F.lit(1))})
     first, last = F.col("run_n") - F.col("n"), F.col("run_n")
     kept = line.where((last > skip) & (first < stop)).select(

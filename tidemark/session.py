@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +18,17 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def working_root(spark: SparkSession) -> str:
-    """Shared folder of the cluster (spark.checkpoint.dir); a temporary one only where that is unset."""
+    """Shared folder of the cluster (spark.checkpoint.dir); where that is unset, one beside the warehouse's tables.
+
+    The warehouse is shared too, so no executor ever writes to its own disk. The substitute is removed when the
+    session's process ends.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
-        shared = tempfile.mkdtemp(prefix="tidemark-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_working-{uuid.uuid4().hex}"
         spark.sparkContext.setCheckpointDir(shared)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(shared)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return shared
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.columns import TxnColumns
-from tidemark.functions.rules import DECLINE_AT, decide, split_valid
+from tidemark.functions.rules import DECLINE_AT, decide
 from tidemark.functions.scalars import add_transaction_features
 from tidemark.plans.training import with_score
-from tidemark.schemas import CATEGORIES, FEATURES
+from tidemark.schemas import FEATURES
 
 EVENT_COLUMNS = TxnColumns(key="cc_num", time="event_time", id="transaction_id", amount="amount")
 
@@ -45,8 +45,4 @@ def scorer(
     return score
 
 
-def valid_and_rejected(decoded: DataFrame, categories: list[str] = CATEGORIES) -> tuple[DataFrame, DataFrame]:
-    return split_valid(decoded, categories)
-
-
-__all__ = ["EVENT_COLUMNS", "FEATURES", "online_features", "scorer", "valid_and_rejected"]
+__all__ = ["EVENT_COLUMNS", "FEATURES", "online_features", "scorer"]
