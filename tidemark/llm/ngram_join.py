@@ -37,17 +37,18 @@ LISTED = 1 << 18
 #: Groups of more classes or tokens are cut into blocks.
 BLOCK = 512
 BLOCK_TOKENS = 400_000
-#: So many visitors of a group go to one task, and so many are compared at a time.
+#: So many visitors of a group go to one task, and so many (or so many tokens of them) are compared at a time.
 LANE = 4096
 GUESTS = 512
+GUEST_TOKENS = 400_000
 #: A token in the prefixes of more groups is put last and the prefixes are taken again, at most ROUNDS times in all.
 WIDE = 256
 ROUNDS = 3
 MAX_BITS = 28
-_LOCAL_TOKENS = 4_000_000
+_LOCAL_TOKENS = 2_000_000
 _LOCAL_COUNT = 2
 _VOCABULARY = 8192
-_REMEMBERED = 1_000_000
+_REMEMBERED = 1 << 17
 _BAND = 0.15
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _PRIME = np.uint64(0xBF58476D1CE4E5B9)
@@ -97,6 +98,9 @@ def _family(tokens: np.ndarray, size: int) -> int:
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list[np.ndarray]]]:
     for batch in pieces(batches):
         yield batch.column(0).to_pylist(), [shingle_set(t, size) for t in batch.column(1).to_pylist()]
+    # Workers are used again: what one task has cached stays in memory beside the next one's data.
+    _HASHES.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -299,11 +303,14 @@ def _open(percent: int):
         hosts: list[tuple[int, np.ndarray]] = []
         guests: list[tuple[int, np.ndarray]] = []
         found: list[tuple[int, int]] = []
+        waiting = 0
 
         def receive() -> None:
+            nonlocal waiting
             if hosts and guests:
                 found.extend(links_between(guests, hosts, percent))
             guests.clear()
+            waiting = 0
 
         def close() -> None:
             receive()
@@ -316,13 +323,14 @@ def _open(percent: int):
             found.clear()
             return _batch(u=(u, pa.int64()), v=(v, pa.int64()))
 
-        for batch in batches:
+        for batch in pieces(batches):
             for host, lane, side, sid, tokens in zip(*(c.to_pylist() for c in batch.columns)):
                 if (host, lane) != held:
                     close()
                     held = (host, lane)
                 (guests if side else hosts).append((sid, np.frombuffer(tokens, dtype="uint64")))
-                if len(guests) >= GUESTS:
+                waiting += side * (len(tokens) // 8)
+                if len(guests) >= GUESTS or waiting >= GUEST_TOKENS:
                     receive()
             yield out()
         close()
