@@ -5,9 +5,10 @@
    hash (among the frequent tokens, if they are most of the set, so that edits do not scatter a family of copies).
    Large groups are cut into blocks.
 3. Two sets that qualify share a token among the first n - ceil(t n) + 1 of each ("prefix"). The matrix holds
-   (token, group) for the union of the prefixes in a group, so a family of near copies costs a row per block.
-4. Two groups that share a token in the matrix are compared by sizes and by the number of shared entries, which
-   bounds the overlap of any two members. Only the token sets of groups that pass are fetched.
+   (token, group) for the union of the prefixes in a group, so a family of near copies costs a row per block, and
+   the smallest and largest set of the group that have the token there.
+4. Two entries of a token meet only if these sizes allow a pair. Two groups with such entries are compared by sizes
+   and by the number of shared entries, which bounds the overlap of any two members. Only the token sets of groups that pass are fetched.
 5. The larger group of a pair is visited by the members of the smaller one. The overlap with the token union of
    the group bounds all similarities of a visitor; only visitors that reach the threshold are compared, exactly. A
    group returns links that span what it has found, not every pair.
@@ -155,7 +156,7 @@ def _least(n, percent: int):
 
 
 def _prefixes(size: int, percent: int, order):
-    """(token, sid, fam) for the first tokens of each set, and one row without a token for the set itself.
+    """(token, sid, fam, n) for the first tokens of each set of n, and one row without a token for the set itself.
 
     `order` has the tokens that come last, sorted, and the place of each among them.
     """
@@ -163,7 +164,7 @@ def _prefixes(size: int, percent: int, order):
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, rank = order.value
         for _, sets in _sets(batches, size):
-            out, sids, fams, counts, seen = [], [], [], [], set()
+            out, sids, fams, counts, sizes, seen = [], [], [], [], [], set()
             for tokens in sets:
                 sid = _set_id(tokens)
                 if not len(tokens) or sid in seen:
@@ -183,14 +184,21 @@ def _prefixes(size: int, percent: int, order):
                 sids.append(sid)
                 fams.append(_family(common, len(tokens)))
                 counts.append(wanted)
+                sizes.append(len(tokens))
             flat = np.concatenate([np.empty(0, dtype="uint64"), *out]).view("int64")
-            sids, fams = np.array(sids, dtype="int64"), np.array(fams, dtype="int64")
+            sids, fams, sizes = (np.array(x, dtype="int64") for x in (sids, fams, sizes))
             yield _batch(
                 token=(pa.array(flat), pa.int64()),
                 sid=(np.repeat(sids, counts), pa.int64()),
                 fam=(np.repeat(fams, counts), pa.int64()),
+                n=(np.repeat(sizes, counts), pa.int64()),
+            )
+            yield _batch(
+                token=([None] * len(sids), pa.int64()),
+                sid=(sids, pa.int64()),
+                fam=(fams, pa.int64()),
+                n=(sizes, pa.int64()),
             )
-            yield _batch(token=([None] * len(sids), pa.int64()), sid=(sids, pa.int64()), fam=(fams, pa.int64()))
 
     return take
 
@@ -394,7 +402,7 @@ def near_duplicates(
         order = np.array(sorted(listed, key=lambda t: (listed[t], t)), dtype="int64").view("uint64")
         place = np.argsort(order)
         shared = spark.sparkContext.broadcast((order[place], place))
-        prefixes = rows.mapInArrow(_prefixes(words, percent, shared), "token long, sid long, fam long")
+        prefixes = rows.mapInArrow(_prefixes(words, percent, shared), "token long, sid long, fam long, n long")
         prefixes = stored(prefixes, "prefixes")
         families = prefixes.where("token is null").groupBy("sid").agg(F.first("fam").alias("fam"))
         classes = stored(sets.join(families, "sid"), "families")
@@ -407,9 +415,10 @@ def near_duplicates(
             part = F.coalesce(F.pmod(F.xxhash64("sid"), "parts"), F.lit(0))
             return df.join(large, "fam", "left").withColumn("gid", F.xxhash64("fam", part)).drop("fam", "parts")
 
-        matrix = grouped(prefixes.where("token is not null")).select("token", "gid").distinct()
-        breadth = F.count(F.lit(1)).over(Window.partitionBy("token")).alias("breadth")
-        matrix = stored(matrix.select("token", "gid", breadth).where("breadth > 1"), "matrix")
+        matrix = grouped(prefixes.where("token is not null")).groupBy("token", "gid")
+        matrix = matrix.agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        breadth = F.count(F.lit(1)).over(Window.partitionBy("token"))
+        matrix = stored(matrix.withColumn("breadth", breadth).where("breadth > 1"), "matrix")
         if turn + 1 == ROUNDS or len(listed) >= LISTED:
             break
         wide = matrix.where(F.col("breadth") > WIDE).groupBy("token").agg(F.first("breadth").alias("df"))
@@ -422,16 +431,22 @@ def near_duplicates(
     classes = stored(grouped(classes), "grouped-classes")
     groups = classes.groupBy("gid").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("k"))
     groups = stored(groups, "groups")
-    one, other = matrix.select("token", F.col("gid").alias("a")), matrix.select("token", F.col("gid").alias("b"))
-    pairs = one.join(other, "token").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"))
+
+    def meet(hi_a: str, lo_a: str, hi_b: str, lo_b: str) -> Column:
+        return (F.col(hi_a) * 100 >= F.col(lo_b) * percent) & (F.col(hi_b) * 100 >= F.col(lo_a) * percent)
+
+    # Sets that qualify stand in both entries of each token that their prefixes share, so no such entry is left out.
+    one = matrix.select("token", F.col("gid").alias("a"), F.col("lo").alias("from_a"), F.col("hi").alias("to_a"))
+    other = matrix.select("token", F.col("gid").alias("b"), F.col("lo").alias("from_b"), F.col("hi").alias("to_b"))
+    pairs = one.join(other, "token").where((F.col("a") < F.col("b")) & meet("to_a", "from_a", "to_b", "from_b"))
+    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"))
     pairs = pairs.join(groups.toDF("a", "lo_a", "hi_a", "k_a"), "a").join(groups.toDF("b", "lo_b", "hi_b", "k_b"), "b")
     # Beyond the shared entries two sets can only share what follows the prefix of one of them. The bound is
     # loosest for the largest and the smallest size that may meet.
     hi = F.greatest("hi_a", "hi_b")
     lo = F.greatest(F.least("lo_a", "lo_b"), _least_sql(hi, percent))
     bound = F.col("hits") + _least_sql(hi, percent) + 1
-    meet = (F.col("hi_a") * 100 >= F.col("lo_b") * percent) & (F.col("hi_b") * 100 >= F.col("lo_a") * percent)
-    pairs = pairs.where(meet & (bound * (100 + percent) >= (hi + lo) * percent))
+    pairs = pairs.where(meet("hi_a", "lo_a", "hi_b", "lo_b") & (bound * (100 + percent) >= (hi + lo) * percent))
     stays = (F.col("k_a") > F.col("k_b")) | ((F.col("k_a") == F.col("k_b")) & (F.col("a") < F.col("b")))
     pairs = pairs.select(
         F.when(stays, F.col("a")).otherwise(F.col("b")).alias("host"),
