@@ -11,6 +11,7 @@ first), weighted back to the shares of all labels.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -61,10 +62,10 @@ class Rule:
 
     tests: tuple[tuple[str, str, float], ...]
 
-    def column(self) -> Column:
+    def column(self, statistic: Callable[[str], Column]) -> Column:
         out = None
         for name, sign, bound in self.tests:
-            value = F.col(f"_stat_{name}")
+            value = statistic(name)
             test = value <= F.lit(bound) if sign == "<=" else value > F.lit(bound)
             out = test if out is None else out & test
         return F.coalesce(out.cast("double"), F.lit(0.0))
@@ -75,10 +76,10 @@ class RuleModel:
     bias: float
     rules: tuple[tuple[Rule, float], ...]
 
-    def score(self) -> Column:
+    def score(self, statistic: Callable[[str], Column]) -> Column:
         total = F.lit(self.bias)
         for rule, weight in self.rules:
-            total = total + rule.column() * F.lit(weight)
+            total = total + rule.column(statistic) * F.lit(weight)
         return 1 / (1 + F.exp(-total))
 
 
@@ -98,6 +99,10 @@ def tree_rules(description: str, names: list[str]) -> list[Rule]:
     return list(dict.fromkeys(rules))
 
 
+def _kept_statistic(name: str) -> Column:
+    return F.col(f"_stat_{name}")
+
+
 def with_statistics(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumns({f"_stat_{n}": c for n, c in statistics(text).items()})
 
@@ -129,7 +134,7 @@ def fit(
     rules = tree_rules(forest.fit(points).toDebugString, names)
     if not rules:
         return RuleModel(20.0, ())
-    met = sample.select("y", "weight", array_to_vector(F.array(*[r.column() for r in rules])).alias("features"))
+    met = sample.select("y", "weight", array_to_vector(F.array(*[r.column(_kept_statistic) for r in rules])).alias("features"))
     met = stored(met, "quality-rules")
     lasso_fit = LogisticRegression(
         labelCol="y", weightCol="weight", elasticNetParam=1.0, regParam=lasso, maxIter=60, family="binomial"
@@ -145,6 +150,8 @@ def score(docs: DataFrame, model: RuleModel, text: str = "text", name: str = "sc
     A column of that name is replaced.
     """
     kept = [c for c in docs.columns if c != name]
-    found = with_statistics(docs, text)
-    # The statistics are computed once and each rule refers to them.
-    return found.select(*kept, model.score().alias(name))
+    # The rules are a function of one struct, so the statistics are computed once for a row even where the optimiser
+    # moves the score into a filter; as plain columns they would be written out there again for every comparison.
+    found = F.array(F.struct(*[c.alias(n) for n, c in statistics(text).items()]))
+    scores = F.transform(found, lambda row: model.score(lambda n: row[n]))
+    return docs.select(*kept, scores[0].alias(name))
