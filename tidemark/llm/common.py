@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import stored
 
-__all__ = ["BLANKS", "attach", "cell_filter", "filter_bits", "in_filter", "kept_rows", "pieces", "row_key", "stored", "text_of"]
+__all__ = ["BLANKS", "arrow_rows", "attach", "cell_filter", "filter_bits", "in_filter", "kept_rows", "pieces", "row_key", "stored", "text_of"]
 
 #: The characters that count as white space in all contracts of this package, as a regular expression class.
 BLANKS = r"[\x20\x09-\x0D]"
@@ -62,6 +63,18 @@ def row_key(id: str, *parts: Column) -> Column:
     return F.concat_ws("/", F.coalesce(F.col(id).cast("string"), F.lit("null")), *parts)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run inside hand so many rows at a time to Python; a batch lies outside the heap, twice over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that a task holds the derived arrays of few documents at a time."""
     for batch in batches:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import attach_left, cell_filter, filter_bits, in_filter, kept_rows, pieces, row_key, stored, text_of
+from tidemark.llm.common import arrow_rows, attach_left, cell_filter, filter_bits, in_filter, kept_rows, pieces, row_key, stored, text_of
 
 WORDS = 5
 PERCENT = 80
@@ -49,6 +49,7 @@ MAX_BITS = 28
 _LOCAL_TOKENS = 2_000_000
 _LOCAL_COUNT = 2
 _VOCABULARY = 8192
+_ARROW_ROWS = 1024
 _REMEMBERED = 1 << 17
 _BAND = 0.15
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -386,6 +387,12 @@ def near_duplicates(
     component is their own id, their n_shingles 0. A null id plays no part in component_id unless all are null.
     Other columns play no part, whatever their names. An empty table gives an empty result.
     """
+    # All work in Python is done when the function returns; what is left to run are joins of written tables.
+    with arrow_rows(docs.sparkSession, _ARROW_ROWS):
+        return _near_duplicates(docs, id, text, words, percent)
+
+
+def _near_duplicates(docs: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(id).cast("long").alias("doc"), text_of(text).alias("text"))
     described = stored(rows.mapInArrow(_describe(words), "is_doc boolean, doc long, sid long, n long"), "sets")
