@@ -15,7 +15,7 @@
 6. Connected components of the links, spread to all members of the classes.
 
 The order of tokens only steers the work: frequent tokens are found by counting in every task over all documents,
-and at most LISTED of them are put last. Tokens are 64-bit hashes of shingles, and a class is told by 64 bits of
+and about LISTED of them at most are put last. Tokens are 64-bit hashes of shingles, and a class is told by 64 bits of
 its set: the chance that any two of n different sets meet is about n**2 / 2**65.
 """
 
@@ -371,6 +371,23 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def most_frequent(counts: DataFrame, most: int) -> dict[int, int]:
+    """The tokens of the largest df, about `most` at most; of the df where the room ends, a part by hash of the token.
+
+    Sorting rows for a limit would hold that many row objects in every task; here only rows that are wanted are sent.
+    """
+    counts = stored(counts.select("token", "df"), "counts")
+    room, cut, part = most, 0, 0
+    for r in sorted(counts.groupBy("df").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["df"]):
+        if r["n"] > room:
+            cut, part = r["df"], (room << 20) // r["n"]
+            break
+        room -= r["n"]
+    in_part = F.pmod(F.xxhash64("token"), F.lit(1 << 20)) < part
+    found = counts.where((F.col("df") > cut) | ((F.col("df") == cut) & in_part))
+    return {r["token"]: r["df"] for r in found.collect()}
+
+
 def _least_sql(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
@@ -401,8 +418,8 @@ def _near_duplicates(docs: DataFrame, id: str, text: str, words: int, percent: i
     total = members.count()
 
     frequent = described.where("not is_doc").groupBy(F.col("sid").alias("token")).agg(F.sum("n").alias("df"))
-    # At most LISTED tokens, whatever the size of the corpus.
-    listed = {r["token"]: r["df"] for r in frequent.orderBy(F.desc("df"), "token").limit(LISTED).collect()}
+    # About LISTED tokens at most, whatever the size of the corpus.
+    listed = most_frequent(frequent, LISTED)
     sets = held.groupBy("sid").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
     sets = stored(sets, "classes")
     for turn in range(ROUNDS):
@@ -426,11 +443,10 @@ def _near_duplicates(docs: DataFrame, id: str, text: str, words: int, percent: i
         matrix = matrix.agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
         breadth = F.count(F.lit(1)).over(Window.partitionBy("token"))
         matrix = stored(matrix.withColumn("breadth", breadth).where("breadth > 1"), "matrix")
-        if turn + 1 == ROUNDS or len(listed) >= LISTED:
+        if turn + 1 == ROUNDS or len(listed) >= 0.98 * LISTED:
             break
         wide = matrix.where(F.col("breadth") > WIDE).groupBy("token").agg(F.first("breadth").alias("df"))
-        wide = wide.orderBy(F.desc("df"), "token").limit(LISTED).collect()
-        fresh = {r["token"]: r["df"] for r in wide if r["token"] not in listed}
+        fresh = {t: n for t, n in most_frequent(wide, LISTED).items() if t not in listed}
         if not fresh:
             break
         listed |= dict(list(fresh.items())[: LISTED - len(listed)])
