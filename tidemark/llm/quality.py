@@ -26,6 +26,8 @@ SAMPLE = 5000
 TREES = 24
 DEPTH = 3
 LASSO = 0.002
+#: Words are told apart within stretches of so many.
+STRETCH = 50
 _SEED = 17
 
 
@@ -33,15 +35,33 @@ def _without(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, "")).cast("double")
 
 
+def _fresh_share(words: Column) -> Column:
+    """Mean share of distinct words in consecutive stretches of STRETCH words, over the whole text.
+
+    A last, shorter stretch counts only where it is the only one, so that the share does not depend on the length.
+    """
+
+    def of(all_words: Column) -> Column:
+        last = F.greatest(F.floor(F.size(all_words) / STRETCH), F.lit(1)).cast("int") - 1
+        some = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_words, i * STRETCH + 1, STRETCH))
+        shares = F.transform(some, lambda s: F.size(F.array_distinct(s)) / F.size(s))
+        return F.aggregate(shares, F.lit(0.0), lambda total, share: total + share) / F.size(shares)
+
+    # A function of one element: the words are cut out once, not again for every stretch.
+    return F.transform(F.array(words), of)[0]
+
+
 def statistics(text: str) -> dict[str, Column]:
-    """What the rules compare; all are defined for an empty text. Shares refer to code points or words."""
+    """What the rules compare, nothing that grows or falls with length alone; all are defined for an empty text.
+
+    Shares refer to code points or words.
+    """
     t = text_of(text)
     chars = F.length(t).cast("double")
     some = F.greatest(chars, F.lit(1.0))
     words = F.split(t, " ")
     count = F.size(words).cast("double")
     return {
-        "chars": chars,
         "letters": 1 - _without(t, r"\p{L}+") / some,
         "capitals": 1 - _without(t, r"\p{Lu}+") / some,
         "digits": 1 - _without(t, r"\p{N}+") / some,
@@ -52,7 +72,7 @@ def statistics(text: str) -> dict[str, Column]:
         "shouts": 1 - F.length(F.replace(t, F.lit("!"), F.lit(""))) / some,
         "lines": 1 - F.length(F.replace(t, F.lit("\n"), F.lit(""))) / some,
         "word_chars": chars / count,
-        "fresh_words": F.size(F.array_distinct(words)) / count,
+        "fresh_words": _fresh_share(words),
     }
 
 
