@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -87,6 +88,49 @@ def test_documents_that_stay(odd):
     assert {i for i in got if i is not None} == {i for i in want if i is not None}
 
 
+def brute_kept(rows, size, percent):
+    """(id, text) of the rows that stay: all without words, and one of each component."""
+    sets = [grams(t, size) for _, t in rows]
+    out = [r for r, s in zip(rows, sets) if not s]
+    left = [i for i, s in enumerate(sets) if s]
+    while left:
+        part, open_ = set(), [left[0]]
+        while open_:
+            i = open_.pop()
+            if i in part:
+                continue
+            part.add(i)
+            for j in left:
+                both = len(sets[i] & sets[j])
+                if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    open_.append(j)
+        best = min(part, key=lambda i: (rows[i][0] is None, rows[i][0] or 0, -len(rows[i][1]), hashlib.md5(rows[i][1].encode()).hexdigest()))
+        out.append(rows[best])
+        left = [i for i in left if i not in part]
+    return sorted(out, key=str)
+
+
+def test_kept_with_null_and_repeated_ids(spark):
+    rng, rows = random.Random(3), []
+    # A third of the near copies have no id, another third share few ids.
+    for id, text in near_copies(8, families=10, members=8):
+        rows.append((rng.choice([None, rng.randrange(6), id]), text))
+    rows += [(None, "no relation to any other text"), (None, "nor has this one any relation"), (None, None), (None, " \t"), (None, "")]
+    rows += [(700, "one unique text under a repeated id"), (700, "quite another and longer unique text under the same repeated id")]
+    # The longer text of id 800 is the near copy of id 1; the shorter one is like nothing else.
+    copy = " ".join(f"c{i}" for i in range(40))
+    rows += [(-1, copy), (800, copy + " more"), (800, "short and unique"), (800, ""), (800, None), (900, copy + " more"), (900, copy + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in ngram_join.drop_near_duplicates(docs).collect()]
+    assert sorted(got, key=str) == brute_kept(rows, 5, 80)
+
+
+def test_kept_odd_rows(odd):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    got = [(r.doc_id, r.text) for r in ngram_join.drop_near_duplicates(odd).collect()]
+    assert sorted(got, key=str) == brute_kept(rows, 5, 80)
+
+
 def test_empty_table(nothing):
     assert ngram_join.near_duplicates(nothing).count() == 0
     assert ngram_join.drop_near_duplicates(nothing).count() == 0

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_rows, attach_left, cell_filter, filter_bits, in_filter, kept_rows, pieces, row_key, stored, text_of
+from tidemark.llm.common import arrow_rows, attach, attach_left, cell_filter, filter_bits, in_filter, kept_rows, pieces, row_key, stored, text_of
 
 WORDS = 5
 PERCENT = 80
@@ -52,6 +52,8 @@ _VOCABULARY = 8192
 _ARROW_ROWS = 1024
 _REMEMBERED = 1 << 17
 _BAND = 0.15
+#: Found in texts that have words: what bytes.split() takes for white space is not all there is.
+_WORDED = r"[^\x20\x09-\x0D]"
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _PRIME = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -97,9 +99,9 @@ def _family(tokens: np.ndarray, size: int) -> int:
     return int(_mixed(least + band * _GOLD).view("int64")[0])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in pieces(batches):
-        yield batch.column(0).to_pylist(), [shingle_set(t, size) for t in batch.column(1).to_pylist()]
+        yield batch, [shingle_set(t, size) for t in batch.column(1).to_pylist()]
     # Workers are used again: what one task has cached stays in memory beside the next one's data.
     _HASHES.clear()
     pa.default_memory_pool().release_unused()
@@ -110,7 +112,7 @@ def _batch(**columns) -> pa.RecordBatch:
 
 
 def _describe(size: int):
-    """Rows of documents (is_doc) and of tokens that are frequent in a stretch of the task (sid: token, n: documents)."""
+    """Rows of documents (is_doc, with `row` as it came) and of tokens that are frequent in a stretch of the task (sid: token, n: documents)."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -127,10 +129,11 @@ def _describe(size: int):
                 doc=(blank, pa.int64()),
                 sid=(tokens.view("int64"), pa.int64()),
                 n=(counts, pa.int64()),
+                row=(blank, pa.string()),
             )
 
         waiting = 0
-        for docs, sets in _sets(batches, size):
+        for batch, sets in _sets(batches, size):
             sids = [_set_id(s) for s in sets]
             for sid, tokens in zip(sids, sets):
                 if sid not in seen:
@@ -138,10 +141,11 @@ def _describe(size: int):
                     held.append(tokens)
                     waiting += len(tokens)
             yield _batch(
-                is_doc=([True] * len(docs), pa.bool_()),
-                doc=(docs, pa.int64()),
+                is_doc=([True] * len(sets), pa.bool_()),
+                doc=(batch.column(0), pa.int64()),
                 sid=(sids, pa.int64()),
                 n=([len(s) for s in sets], pa.int64()),
+                row=(batch.column(2), pa.string()),
             )
             if waiting >= _LOCAL_TOKENS:
                 yield frequent()
@@ -217,7 +221,8 @@ def _fetch(size: int, shared, bits: int):
     """(sid, tokens) of the documents that stand for a wanted class, and of few others."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs, sets in _sets(batches, size):
+        for batch, sets in _sets(batches, size):
+            docs = batch.column(0).to_pylist()
             sids = np.array([_set_id(s) for s in sets], dtype="int64")
             found = np.flatnonzero(in_filter(shared.value, bits, _rep_key(np.array(docs, dtype="int64"), sids)))
             yield _batch(
@@ -404,16 +409,33 @@ def near_duplicates(
     component is their own id, their n_shingles 0. A null id plays no part in component_id unless all are null.
     Other columns play no part, whatever their names. An empty table gives an empty result.
     """
+    members, known, total = _resolved(docs, id, text, words, percent, F.lit(None).cast("string"))
+    held = members.where("n > 0").select("doc", "sid", "n")
+    known = known.where("copies > 1 or component_id is not null").select("sid", "copies", "component_id")
+    result = attach_left(held, known, "sid", "copies", total)
+    result = result.select("doc", "n", "component_id", "copies")
+    bare = members.where("n = 0").select("doc", "n", F.col("doc").alias("component_id"), F.lit(1).cast("long").alias("copies"))
+    return result.unionByName(bare).select(F.col("doc").alias(id), F.col("n").alias("n_shingles"), "component_id", "copies")
+
+
+def _resolved(
+    docs: DataFrame, id: str, text: str, words: int, percent: int, row: Column
+) -> tuple[DataFrame, DataFrame, int]:
+    """(doc, sid, n, row) of all documents, (sid, copies, root, component_id) of all classes, and the number of documents."""
     # All work in Python is done when the function returns; what is left to run are joins of written tables.
     with arrow_rows(docs.sparkSession, _ARROW_ROWS):
-        return _near_duplicates(docs, id, text, words, percent)
+        return _linked(docs, id, text, words, percent, row)
 
 
-def _near_duplicates(docs: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
+def _linked(
+    docs: DataFrame, id: str, text: str, words: int, percent: int, row: Column
+) -> tuple[DataFrame, DataFrame, int]:
     spark = docs.sparkSession
     rows = docs.select(F.col(id).cast("long").alias("doc"), text_of(text).alias("text"))
-    described = stored(rows.mapInArrow(_describe(words), "is_doc boolean, doc long, sid long, n long"), "sets")
-    members = described.where("is_doc").select("doc", "sid", "n")
+    told = docs.select(F.col(id).cast("long").alias("doc"), text_of(text).alias("text"), row.alias("row"))
+    described = told.mapInArrow(_describe(words), "is_doc boolean, doc long, sid long, n long, row string")
+    described = stored(described, "sets")
+    members = described.where("is_doc").select("doc", "sid", "n", "row")
     held = members.where("n > 0")
     total = members.count()
 
@@ -504,11 +526,7 @@ def _near_duplicates(docs: DataFrame, id: str, text: str, words: int, percent: i
     linked = classes.join(found, F.col("sid") == F.col("node"), "left")
     linked = linked.select("sid", "rep", "copies", F.coalesce("root", "sid").alias("root"))
     smallest = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
-    known = stored(linked.join(smallest, "root").select("sid", "copies", "component_id"), "components")
-    result = attach_left(held.select("doc", "sid", "n"), known.where("copies > 1 or component_id is not null"), "sid", "copies", total)
-    result = result.select("doc", "n", "component_id", "copies")
-    bare = members.where("n = 0").select("doc", "n", F.col("doc").alias("component_id"), F.lit(1).cast("long").alias("copies"))
-    return result.unionByName(bare).select(F.col("doc").alias(id), F.col("n").alias("n_shingles"), "component_id", "copies")
+    return members, stored(linked.join(smallest, "root").select("sid", "copies", "root", "component_id"), "components"), total
 
 
 def drop_near_duplicates(
@@ -516,9 +534,18 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its columns.
 
-    Documents without words stay. Rows that share an id are one document; of them the longest text stays. Rows with a null id stay
-    only where nothing with an id is linked to them.
+    A null id comes after all others. Of rows of one component that share the smallest id the one with the longest text
+    stays, then the one with the smallest MD5; of fully repeated rows one stays. Rows that share an id, or have none, but
+    are not linked by their texts are different documents. All rows without words stay.
     """
-    found = near_duplicates(docs, id, text, words, percent)
-    best = found.where(F.col(id).eqNullSafe(F.col("component_id"))).select(row_key(id).alias("_keep_key"))
-    return kept_rows(docs.withColumn("_keep_key", row_key(id)), best, "_keep_key", F.length(text_of(text)).desc(), F.col(text))
+    # The text of a row as a value that sorts longer texts first and tells texts of one length apart.
+    row = F.concat(F.lpad((F.lit((1 << 31) - 1) - F.length(text_of(text))).cast("string"), 10, "0"), F.md5(text_of(text)))
+    members, known, total = _resolved(docs, id, text, words, percent, row)
+    held = members.where("n > 0").select("doc", "sid", "row")
+    met = attach(held, known.select("sid", "copies", "root"), "sid", "copies", total)
+    first = F.min(F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "row")).alias("first")
+    best = met.groupBy("root").agg(first).select("first.doc", "first.row")
+    best = best.select(row_key("doc", F.col("row")).alias("_keep_key"))
+    worded = text_of(text).rlike(_WORDED)
+    keyed = docs.where(worded).withColumn("_keep_key", row_key(id, row))
+    return docs.where(~worded).unionByName(kept_rows(keyed, best, "_keep_key"))
