@@ -4,6 +4,11 @@ Only documents carry labels. A sentence has the probability p = sigmoid(bias + w
 beginnings), a document 1 - product(1 - p) over its sentences (noisy-or). Both are learned together from the
 labels of documents, so the sentences that make a document toxic can be pointed out afterwards.
 
+Every sentence has some probability, and many add up to certainty. Documents are labelled at usual lengths, so what
+weak sentences (p below WEAK) may say is held to that: in a document of more sentences than usual, which is the
+USUAL quantile of the fitted documents, their odds are divided by how many times longer it is. A clean text then scores
+alike at all lengths, and a sentence that is toxic by itself counts in full wherever it stands.
+
 The model is fitted on a bounded sample (SAMPLE labelled documents of each class, whole texts, smallest hash of the
 id first), weighted back to the shares of the classes among all labels. Scoring reads every document.
 """
@@ -26,6 +31,8 @@ SAMPLE = 2000
 MAX_FEATURES = 4000
 LEAST_DOCUMENTS = 4
 BEGINNINGS = (4, 5, 6, 7)
+WEAK = 0.5
+USUAL = 0.95
 _STEPS = 400
 _RATE = 0.1
 _SHRINK = 0.002
@@ -41,10 +48,11 @@ def word_features(word: str) -> list[str]:
 
 @dataclass
 class ToxicityModel:
-    """Weights of features (a beginning, or "=" and a whole word) and the bias of a sentence."""
+    """Weights of features (a beginning, or "=" and a whole word), the bias of a sentence, and a usual document's sentences."""
 
     bias: float
     weights: dict[str, float]
+    usual: float = float("inf")
     # Weight of each word; None marks the end of a sentence.
     known: dict[str, float] = field(default_factory=dict, repr=False)
 
@@ -59,7 +67,7 @@ class ToxicityModel:
         return weight
 
     def sentence_scores(self, text: str) -> np.ndarray:
-        """p of each sentence, in order; a text without an end is one sentence."""
+        """p of each sentence, in order, as it counts in this text; a text without an end is one sentence."""
         parts = _PARTS.findall(text.lower())
         known = self.known.get
         found = [known(p) for p in parts]
@@ -69,7 +77,11 @@ class ToxicityModel:
         ends = np.isinf(weights)
         number = np.cumsum(ends) - ends
         sums = np.bincount(number[~ends], weights=weights[~ends], minlength=1)
-        return 1 / (1 + np.exp(-np.clip(self.bias + sums, -60, 60)))
+        z = np.clip(self.bias + sums, -60, 60)
+        p = 1 / (1 + np.exp(-z))
+        if len(p) > self.usual:
+            p = np.where(p < WEAK, 1 / (1 + np.exp(-z) * (len(p) / self.usual)), p)
+        return p
 
     def score(self, text: str) -> float:
         return float(-np.expm1(np.log1p(-np.minimum(self.sentence_scores(text), 1 - 1e-12)).sum()))
@@ -195,11 +207,13 @@ def fit(
     # At most 2 * rows documents and MAX_FEATURES features, so one task can fit them.
     def fitted(all_bags: pd.DataFrame) -> pd.DataFrame:
         bias, weights = _noisy_or(all_bags, len(features))
-        return pd.DataFrame({"feature": ["", *features], "weight": [bias, *weights.tolist()]})
+        usual = float(all_bags["sentences"].quantile(USUAL))
+        return pd.DataFrame({"feature": ["", " ", *features], "weight": [bias, usual, *weights.tolist()]})
 
     found = bags.groupBy().applyInPandas(fitted, "feature string, weight double").collect()
     weights = {r["feature"]: r["weight"] for r in found}
-    return ToxicityModel(weights.pop(""), {f: w for f, w in weights.items() if abs(w) > 1e-6})
+    bias, usual = weights.pop(""), weights.pop(" ")
+    return ToxicityModel(bias, {f: w for f, w in weights.items() if abs(w) > 1e-6}, usual)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str = "score") -> DataFrame:
@@ -207,7 +221,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str =
 
     A column of that name is replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))
+    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights, model.usual))
 
     @F.pandas_udf("double")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -220,7 +234,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str =
 
 def offending_sentences(docs: DataFrame, model: ToxicityModel, id: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
     """(id, sentence_no, start, sentence, score) of the sentences that score `least` or more; start counts code points."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))
+    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights, model.usual))
 
     @F.pandas_udf("array<struct<sentence_no:int,start:int,sentence:string,score:double>>")
     def of(texts: pd.Series) -> pd.Series:
