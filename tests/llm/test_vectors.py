@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tidemark.llm import permutation_index
 
@@ -27,6 +28,26 @@ def test_recall_and_order(spark):
     assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.9
 
 
+@pytest.mark.parametrize(("rows", "spread", "far"), [(2000, 0.5, 1), (9000, 0.0, 1), (9000, 0.5, 1), (9000, 0.0, 1000)])
+def test_recall_of_unequal_lengths(spark, monkeypatch, rows, spread, far):
+    """Blocks of which 15 % are compared, and no more; with `far`, three vectors are that many times longer."""
+    monkeypatch.setattr(permutation_index, "LEAST_COMPARED", 0)
+    monkeypatch.setattr(permutation_index, "BLOCK_ROWS", 4096)
+    rng = np.random.default_rng(rows)
+    x = rng.normal(size=(rows, 64))
+    x *= np.exp(spread * rng.normal(size=(rows, 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+    x[[11, 12, 13]] *= far
+    vectors = dict(enumerate(x.tolist()))
+    want = brute(vectors, range(0, rows, 50))
+    table = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    got = {}
+    for r in permutation_index.nearest_neighbours(table, lambda id: id % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = np.mean([len(got[q] & set(want[q])) / 20 for q in want])
+    print("recall", rows, spread, far, round(float(recall), 3))
+    assert recall >= 0.9
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(1, 90)]

@@ -6,6 +6,10 @@ the id); in every block each pivot has an inverted file of the vectors that have
 positions agree, which gives the footrule distance to every vector of the block; the nearest share of the
 block is compared exactly, in double precision, and the best of all blocks are merged.
 
+Nearness is an inner product, orders of pivots follow angles. So vectors get one more coordinate that brings all to one
+length, and queries a zero there: the angle to a query then falls as the inner product rises. That length is the LONG
+quantile of all; the few longer vectors are compared with every query, so that they do not flatten the angles of the rest.
+
 Every vector is indexed; only the pivots are a bounded sample. Equal vectors are indexed once, with their smallest
 ids, which are all that a list of neighbours can need. Queries meet blocks in batches of bounded size.
 """
@@ -26,6 +30,7 @@ PREFIX = 64
 SHARE = 0.15
 #: Rows of a block that are compared exactly at least.
 LEAST_COMPARED = 512
+LONG = 0.98
 NEIGHBOURS = 20
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 2_048
@@ -67,13 +72,21 @@ def _nearest_pivots(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarra
     return np.take_along_axis(some, order, 1)
 
 
-def _search(pivots: np.ndarray, prefix: int, share: float, k: int, least: int):
+def _lifted(x: np.ndarray, length: float) -> np.ndarray:
+    """`x` with one more coordinate, so that each row has that length; longer rows are shortened."""
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    rest = np.sqrt(np.maximum(0.0, 1 - np.square(norm / length)))
+    return np.hstack([x / np.maximum(norm, length), rest])
+
+
+def _search(pivots: np.ndarray, length: float, prefix: int, share: float, k: int, least: int):
     def search(guests: pd.DataFrame, hosts: pd.DataFrame) -> pd.DataFrame:
         if not len(guests) or not len(hosts):
             return pd.DataFrame({"query": [], "vec": [], "score": []})
         x = np.stack(hosts["x"].to_numpy())
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-        near = _nearest_pivots(unit, pivots, prefix)
+        near = _nearest_pivots(_lifted(x, length), pivots, prefix)
+        # What is longer than that by rounding alone is not long.
+        long = np.linalg.norm(x, axis=1) > length * (1 + 1e-9)
         depth = near.shape[1]
         # Inverted files: by pivot, the vectors and how far before the end of the prefix it stands.
         order = np.argsort(near, axis=None, kind="stable")
@@ -82,7 +95,8 @@ def _search(pivots: np.ndarray, prefix: int, share: float, k: int, least: int):
         starts = np.searchsorted(near.ravel()[order], np.arange(len(pivots) + 1))
 
         q = np.stack(guests["x"].to_numpy())
-        q_near = _nearest_pivots(q / np.linalg.norm(q, axis=1, keepdims=True), pivots, prefix)
+        flat = np.hstack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros((len(q), 1))])
+        q_near = _nearest_pivots(flat, pivots, prefix)
         # At least `least` rows of a block are compared exactly, whatever the share.
         wanted = min(len(x), max(least, int(np.ceil(share * len(x)))))
         ids = hosts["ids"].tolist()
@@ -94,6 +108,7 @@ def _search(pivots: np.ndarray, prefix: int, share: float, k: int, least: int):
             for position, p in enumerate(pivots_of):
                 part = slice(starts[p], starts[p + 1])
                 saved[who[part]] += np.minimum(ahead[part], depth - position)
+            saved[long] = np.iinfo("int32").max
             close = np.argpartition(-saved, wanted - 1)[:wanted]
             score = np.einsum("ij,j->i", x[close], vector)
             best = close[score >= np.partition(score, -min(k + 1, wanted))[-min(k + 1, wanted)]]
@@ -123,8 +138,7 @@ def nearest_neighbours(
     Nearness is the largest inner product of the original vectors, in double precision, ties to the smaller id; a
     row is not its own neighbour. Vectors that are null or zero, hold null or non-finite components or have another
     length than most take no part, nor do rows with a null id; repeated rows count once. With fewer candidates all
-    are returned. An empty table gives an empty result. Footrule order follows directions, so `share` has to
-    grow where lengths differ much.
+    are returned. An empty table gives an empty result.
     """
     spark = table.sparkSession
     rows = usable_vectors(table, id, vector)
@@ -132,9 +146,10 @@ def nearest_neighbours(
     chosen = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).select("x").collect()
     if not chosen:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    centre = np.array([r["x"] for r in chosen], dtype="float64")
-    centre /= np.linalg.norm(centre, axis=1, keepdims=True)
     hosts = stored(_distinct(rows, k + 1), "distinct-vectors")
+    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda total, v: total + v * v))
+    length = hosts.agg(F.percentile_approx(norm, F.lit(LONG))).first()[0]
+    centre = _lifted(np.array([r["x"] for r in chosen], dtype="float64"), length)
     blocks = max(1, -(-hosts.count() // BLOCK_ROWS))
     batches = max(1, -(-asked.count() // QUERY_ROWS))
     # Every batch of queries meets every block: each side is copied to the tasks of its row or column.
@@ -145,7 +160,7 @@ def nearest_neighbours(
     found = (
         guest.groupBy("block", "batch")
         .cogroup(host.groupBy("block", "batch"))
-        .applyInPandas(_search(centre, prefix, share, k, LEAST_COMPARED), "query long, vec array<long>, score array<double>")
+        .applyInPandas(_search(centre, length, prefix, share, k, LEAST_COMPARED), "query long, vec array<long>, score array<double>")
     )
     flat = found.select("query", F.explode(F.arrays_zip("score", "vec")).alias("r"))
     flat = flat.select(F.col("query").alias("query_id"), F.col("r.vec").alias("vec_id"), F.col("r.score").alias("score"))
