@@ -13,12 +13,11 @@ from tidemark.operators.resampling import remove_tomek_links, smote, tomek_links
 from tidemark.operators.sampling import sample_fraction, undersample
 from tidemark.plans.dataset import build_dataset
 from tidemark.plans.registry import VERSION_SCHEMA, load_champion, not_yet_evaluated, promote, promotion_history
-from tidemark.plans.training import EXPERIMENTS, compare, fit_model, importances, random_search, train_final, with_score
+from tidemark.plans.training import BASELINE_TREES, EXPERIMENTS, compare, fit_model, importances, random_search, train_final, with_score
 from tidemark.session import new_working_path, stored
 
-# Small models keep the queries short; the library's defaults are the full-size ones.
-SMALL = {"n_estimators": 10, "max_depth": 4}
-SMALL_SPACE = {"n_estimators": ("step", 5, 10, 5), "max_depth": ("step", 3, 5, 1), "learning_rate": ("log", 0.05, 0.3)}
+# As many as the job `tune` takes; models and ranges are the library's.
+TRIALS = 20
 BLOCK = 100
 
 
@@ -79,13 +78,13 @@ def tomek_removed(spark, sf_dir):
 
 def train_compare(spark, sf_dir):
     train, val, _ = _periods(spark, sf_dir)
-    runs = {"prior": {"name": "prior"}, "logreg": {"name": "logreg"}, "trees": {"name": "trees", "params": SMALL}}
+    runs = {"prior": {"name": "prior"}, "logreg": {"name": "logreg"}, "trees": {"name": "trees"}}
     return rounded(compare(train, val, runs), 4)
 
 
 def imbalance_compare(spark, sf_dir):
     train, val, _ = _periods(spark, sf_dir)
-    trees = {"name": "trees", "params": SMALL, "class_weighting": False}
+    trees = {"name": "trees", "class_weighting": False}
 
     def under(df):
         return undersample(df, 0.1, "trans_num")
@@ -112,24 +111,24 @@ def imbalance_compare(spark, sf_dir):
 
 def ablation(spark, sf_dir):
     train, val, _ = _periods(spark, sf_dir)
-    runs = {name: {"name": "trees", "params": SMALL, "numeric": numeric} for name, numeric in EXPERIMENTS.items()}
+    runs = {name: {"name": "trees", "numeric": numeric} for name, numeric in EXPERIMENTS.items()}
     return rounded(compare(train, val, runs).select("run", "pr_auc", "recall_at_1pct_fpr", "precision", "recall"), 4)
 
 
 def search(spark, sf_dir):
     train, val, _ = _periods(spark, sf_dir)
-    return rounded(random_search(train, val, 2, 0.8, SMALL_SPACE).trials, 4)
+    return rounded(random_search(train, val, TRIALS).trials, 4)
 
 
 def importance(spark, sf_dir):
     train, _, _ = _periods(spark, sf_dir)
-    return rounded(importances(fit_model(train, "trees", params=SMALL), spark))
+    return rounded(importances(fit_model(train, "trees"), spark))
 
 
 def score_batch(spark, sf_dir):
     """Fit, choose the threshold, register, promote, load the champion again and score the test period."""
     train, val, test = _periods(spark, sf_dir)
-    final = train_final(train, val, SMALL)
+    final = train_final(train, val, BASELINE_TREES)
     path = new_working_path(spark, "model")
     final.model.write().overwrite().save(path)
     row = ("1", 1, None, final.metrics["pr_auc"], final.threshold, 10.0, path, False)
