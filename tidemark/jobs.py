@@ -10,6 +10,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.columns import DEFAULT
 from tidemark.functions.rules import split_valid
@@ -130,13 +131,15 @@ def _trigger(a) -> dict:
     return {"availableNow": True} if a.available_now else {"processingTime": f"{a.trigger_seconds} seconds"}
 
 
+def _keep_rejected(rejected: DataFrame, a) -> StreamingQuery:
+    sink = rejected.writeStream.foreachBatch(micro_batch_sink(f"{a.out}/rejected"))
+    return sink.option("checkpointLocation", f"{a.checkpoint}/rejected").trigger(**_trigger(a)).start()
+
+
 def stream_features(spark: SparkSession, a) -> None:
     """Valid events with history features, rejected ones beside them."""
     valid, rejected = split_valid(decode_events(_messages(spark, a)))
-    queries = [
-        rejected.writeStream.foreachBatch(micro_batch_sink(f"{a.out}/rejected"))
-        .option("checkpointLocation", f"{a.checkpoint}/rejected").trigger(**_trigger(a)).start()
-    ]
+    queries = [_keep_rejected(rejected, a)]
     if a.engine == "tables":
         job = TableStateHistory(f"{a.checkpoint}/state", f"{a.out}/features", EVENT_COLUMNS)
         if a.state:
@@ -154,14 +157,15 @@ def stream_features(spark: SparkSession, a) -> None:
 
 
 def stream_scores(spark: SparkSession, a) -> None:
-    """Events to decisions with the champion and its own threshold."""
+    """Valid events to decisions with the champion and its own threshold, rejected ones beside them."""
     model, row = load_champion(read_versions(spark, a.registry))
     job = TableStateHistory(f"{a.checkpoint}/state", f"{a.out}/scored", EVENT_COLUMNS)
     if a.state:
         job.seed(read_state(spark, a.state))
-    valid = split_valid(decode_events(_messages(spark, a)))[0]
+    valid, rejected = split_valid(decode_events(_messages(spark, a)))
     score = scorer(model, row["threshold"], row["version"])
-    job.start(valid, f"{a.checkpoint}/scores", score, **_trigger(a)).awaitTermination()
+    for query in [_keep_rejected(rejected, a), job.start(valid, f"{a.checkpoint}/scores", score, **_trigger(a))]:
+        query.awaitTermination()
 
 
 def train(spark: SparkSession, a) -> DataFrame:
