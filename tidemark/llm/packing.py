@@ -63,7 +63,11 @@ _UNSURE = re.compile("[\x1c-\x1f]")
 
 
 class WordIds:
-    """Ids of whole texts as little-endian unsigned 32-bit numbers."""
+    """Ids of whole texts as little-endian unsigned 32-bit numbers.
+
+    Literals of special tokens, such as <|endoftext|>, are encoded as the ordinary text they are, so no document can hold
+    an end of document inside. The tokenizer's plain call makes one special token of each; other texts get the same ids.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
