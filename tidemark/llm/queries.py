@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     byte_bpe,
     exact_dedup,
+    hard_negatives,
+    lattice_dedup,
     license_scan,
     line_dedup,
     ngram_join,
@@ -17,6 +19,7 @@ from tidemark.llm import (
     quality,
     sharding,
     toxicity,
+    whitening,
 )
 from tidemark.llm.common import text_of
 
@@ -111,6 +114,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), lambda id: id % 100 == 0)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -122,6 +139,9 @@ QUERIES = {
     "op8_permutation_index": op8_permutation_index,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
+    "op13_lattice_dedup": op13_lattice_dedup,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -167,4 +187,33 @@ ORACLES = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                     list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+              FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                CAST(list_dot_product(CAST(a.x AS DOUBLE[]), CAST(r.x AS DOUBLE[])) AS BIGINT) AS score
+              FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, CAST(row_number() OVER (
+                PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+              FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+                AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+    """,
+    "op13_lattice_dedup": """
+        WITH RECURSIVE
+        v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+                AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+        e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+              WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+        reach AS (SELECT vec_id AS node, vec_id AS other FROM embeddings
+                  UNION SELECT reach.node, e.b FROM reach JOIN e ON reach.other = e.a),
+        n AS (SELECT a AS vec_id, count(*) AS n FROM e GROUP BY 1),
+        c AS (SELECT node AS vec_id, min(other) AS component_id FROM reach GROUP BY 1)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+    """,
 }
