@@ -290,9 +290,8 @@ def whiten(
         return (x - centre) - fraction
 
     tasks = max(task_count(fit), -(-n // TASK_ROWS))
-    lane = F.pmod(F.xxhash64("x"), F.lit(tasks)).cast("int")
-    dealt = fit.withColumn("lane", lane).repartition(tasks, "lane")
-    # A partition may hold several lanes; its spectrum goes under one of them.
+    # By the vector itself, so that partitions are about equal and a repeated task gets the same rows.
+    dealt = fit.repartition(tasks, "x").withColumn("lane", F.spark_partition_id())
     spectra = stored(dealt.mapInArrow(_add_all(centre), _SPECTRUM), "spectra")
     while tasks > 1:
         group = F.expr(f"lane div {FAN_IN}")
