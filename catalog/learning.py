@@ -13,7 +13,7 @@ from tidemark.operators.resampling import remove_tomek_links, smote, tomek_links
 from tidemark.operators.sampling import sample_fraction, undersample
 from tidemark.plans.dataset import build_dataset
 from tidemark.plans.registry import VERSION_SCHEMA, load_champion, not_yet_evaluated, promote, promotion_history
-from tidemark.plans.training import BASELINE_TREES, EXPERIMENTS, compare, fit_model, importances, random_search, train_final, with_score
+from tidemark.plans.training import BASELINE_TREES, compare, fit_model, importances, random_search, resampled, train_final, with_score, without_groups
 from tidemark.session import new_working_path, stored
 
 # As many as the job `tune` takes; models and ranges are the library's.
@@ -76,43 +76,29 @@ def tomek_removed(spark, sf_dir):
     return remove_tomek_links(rows, "vec_id", "x", "y", block_rows=BLOCK).select("vec_id", "y")
 
 
+#: Chains of resampling steps that are compared with each other.
+CHAINS = [
+    [("undersample", 0.1)],
+    [("smote", 0.1)],
+    [("undersample", 0.1), ("smote", 0.3), ("tomek", None)],
+]
+SHOWN = ["run", "pr_auc", "recall_at_1pct_fpr", "precision", "recall"]
+
+
 def train_compare(spark, sf_dir):
     train, val, _ = _periods(spark, sf_dir)
-    runs = {"prior": {"name": "prior"}, "logreg": {"name": "logreg"}, "trees": {"name": "trees"}}
-    return rounded(compare(train, val, runs), 4)
+    runs = {name: {"name": name} for name in ("prior", "logreg", "trees")}
+    return rounded(compare(train, val, runs).drop("train_seconds"), 4)
 
 
 def imbalance_compare(spark, sf_dir):
     train, val, _ = _periods(spark, sf_dir)
-    trees = {"name": "trees", "class_weighting": False}
-
-    def under(df):
-        return undersample(df, 0.1, "trans_num")
-
-    def over(df):
-        return smote(df, 0.1, "trans_num", "features", "is_fraud")
-
-    def over_more(df):
-        more = smote(df, 0.3, "trans_num", "features", "is_fraud")
-        return more.withColumn("trans_num", F.coalesce("trans_num", -1 - F.pmod(F.xxhash64("features"), F.lit(1 << 62))))
-
-    def without_links(df):
-        return remove_tomek_links(df, "trans_num", "features", "is_fraud")
-
-    runs = {
-        "no handling": trees,
-        "class weights": {**trees, "class_weighting": True},
-        "undersampling": {**trees, "samplers": [under]},
-        "smote": {**trees, "samplers": [over]},
-        "undersampling + smote-tomek": {**trees, "samplers": [under, over_more, without_links]},
-    }
-    return rounded(compare(train, val, runs).select("run", "pr_auc", "recall_at_1pct_fpr", "precision", "recall"), 4)
+    return rounded(compare(train, val, resampled(CHAINS)).select(*SHOWN), 4)
 
 
 def ablation(spark, sf_dir):
     train, val, _ = _periods(spark, sf_dir)
-    runs = {name: {"name": "trees", "numeric": numeric} for name, numeric in EXPERIMENTS.items()}
-    return rounded(compare(train, val, runs).select("run", "pr_auc", "recall_at_1pct_fpr", "precision", "recall"), 4)
+    return rounded(compare(train, val, without_groups()).select(*SHOWN), 4)
 
 
 def search(spark, sf_dir):

@@ -4,11 +4,14 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from test_rows import raw_row
 from tidemark.jobs import run
+from tidemark.operators.ranking import evaluate
 from tidemark.plans.registry import champion, read_versions
+from tidemark.plans.training import with_score
 from tidemark.schemas import CATEGORIES, RAW_SCHEMA
 
 
@@ -58,9 +61,22 @@ def test_jobs_from_raw_files_to_reports(spark, folder, monkeypatch):
     import tidemark.plans.training as training
 
     monkeypatch.setattr(training, "SEARCH_SPACE", {"n_estimators": ("step", 2, 3, 1), "max_depth": ("step", 2, 3, 1)})
+    table = job("train", "--data", at("data"), "--model", "logreg", "--models", at("baselines")).collect()
+    assert [r["run"] for r in table] == ["logreg"] and table[0]["train_seconds"] > 0
+    again = PipelineModel.load(at("baselines/logreg"))
+    measured = evaluate(with_score(again, spark.read.parquet(at("data")).where("split = 'val'"))).first()
+    assert measured["pr_auc"] == pytest.approx(table[0]["pr_auc"])
+    names = [r["run"] for r in job("ablate", "--data", at("data"), "--model", "logreg").collect()]
+    assert names == ["full", "without history", "without amount"]
+    chains = ["--chain", "undersample:0.5", "--chain", "smote:0.4,tomek"]
+    names = [r["run"] for r in job("imbalance", "--data", at("data"), "--model", "logreg", *chains).collect()]
+    assert names == ["plain", "weighted", "undersample 0.5", "smote 0.4, tomek"]
+
     monkeypatch.setattr(training.random_search, "__defaults__", (1.0, training.SEARCH_SPACE, 42, training.DEFAULT))
     registry = ["--data", at("data"), "--registry", at("registry")]
     job("tune", *registry, "--models", at("models"), "--n-trials", "1")
+    trials = spark.read.parquet(at("models/v1-trials")).collect()
+    assert len(trials) == 1 and trials[0]["pr_auc"] > 0
     assert champion(read_versions(spark, at("registry")))["version"] == "1"
     table = {r["metric"]: r for r in job("final-evaluation", *registry, "--out", at("final")).collect()}
     assert table["rows"]["test"] == 900 and table["frauds"]["val"] > 0

@@ -3,10 +3,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.nearest import nearest
+from tidemark.operators.ranking import evaluate
 from tidemark.operators.resampling import remove_tomek_links, smote, tomek_links
 from tidemark.operators.sampling import sample_fraction, sample_rows, undersample
 from tidemark.plans.registry import VERSION_SCHEMA, champion, load_champion, not_yet_evaluated, promote, promotion_history
-from tidemark.plans.training import SEARCH_SPACE, draw_params, fit_model, importances, random_search, train_final, with_score
+from tidemark.plans.training import (
+    SEARCH_SPACE,
+    compare,
+    draw_params,
+    fit_model,
+    importances,
+    random_search,
+    resampled,
+    train_final,
+    with_score,
+    without_groups,
+)
+from tidemark.plans.trials import side_by_side
 from tidemark.schemas import NUMERIC_FEATURES
 
 SMALL = {"n_estimators": 3, "max_depth": 3}
@@ -97,6 +110,59 @@ def test_sample_fraction(spark):
     assert sample_fraction(spark.range(100_000), "id", 0.2).count() == pytest.approx(20_000, rel=0.05)
 
 
+def test_resampling_by_text_ids(spark):
+    """Ids with leading zeros, as the raw feed has them; synthetic rows named after their start."""
+    rng = np.random.default_rng(5)
+    rows = [(f"{i:04d}", [float(v) for v in rng.normal(size=3)], int(i < 15)) for i in range(120)]
+    numbers = spark.createDataFrame([(int(i), x, y) for i, x, y in rows], "id long, x array<double>, y int")
+    texts = spark.createDataFrame(rows, "id string, x array<double>, y int")
+    want = {(f"{r['id']:04d}", f"{r['neighbour']:04d}", r["rank"]) for r in nearest(numbers, "id", "x", 2, block_rows=20).collect()}
+    assert {(r["id"], r["neighbour"], r["rank"]) for r in nearest(texts, "id", "x", 2, block_rows=20).collect()} == want
+    links = {(f"{r['a']:04d}", f"{r['b']:04d}") for r in tomek_links(numbers, "id", "x", "y", block_rows=20).collect()}
+    assert {(r["a"], r["b"]) for r in tomek_links(texts, "id", "x", "y", block_rows=20).collect()} == links and links
+    assert remove_tomek_links(texts, "id", "x", "y", block_rows=20).count() == 120 - len({i for pair in links for i in pair})
+    more = smote(texts, 0.4, "id", "x", "y", block_rows=5, name=lambda source, copy: F.concat(source, F.lit("+"), copy.cast("string")))
+    ids = [r["id"] for r in more.collect()]
+    assert len(ids) == len(set(ids)) == 105 + 42 and sum("+" in i for i in ids) == 42 - 15
+
+
+def test_fits_side_by_side(spark, matrix):
+    """Runs at once give what each gives alone; inputs that runs share are prepared once; a failure ends all."""
+    # Without row and column samples, which follow the order of files.
+    whole = {**SMALL, "subsample": 1.0, "colsample": 1.0}
+    runs = {
+        "trees": {"name": "trees", "params": whole},
+        "heavy": {"name": "trees", "params": whole, "class_weighting": False},
+        "logreg": {"name": "logreg"},
+        **without_groups({"first": NUMERIC_FEATURES[:3]}, model="logreg"),
+        **resampled([[("undersample", 0.9)], [("smote", 0.5), ("tomek", None)]], model="logreg"),
+    }
+    table = compare(matrix, matrix, runs).collect()
+    assert [r["run"] for r in table] == list(runs)
+    for r in table:
+        alone = evaluate(with_score(fit_model(matrix, **runs[r["run"]]), matrix)).first()
+        assert r["pr_auc"] == pytest.approx(alone["pr_auc"]) and (r["tp"], r["fp"]) == (alone["tp"], alone["fp"])
+        assert r["train_seconds"] > 0
+
+    def broken():
+        raise KeyError("broken")
+
+    def endless():
+        return spark.range(0, 1 << 50, numPartitions=2).where("id % 7 = 9").count()
+
+    with pytest.raises(KeyError, match="broken"):
+        side_by_side(spark, {"endless": endless, "broken": broken})
+    assert side_by_side(spark, {}) == {}
+
+
+def test_prior_in_closed_form(spark, matrix):
+    """A constant score: every metric follows from the base rate."""
+    rate = matrix.agg(F.avg("is_fraud")).first()[0]
+    row = compare(matrix, matrix, {"prior": {"name": "prior"}}).first()
+    assert row["pr_auc"] == pytest.approx(rate) and row["roc_auc"] == pytest.approx(0.5) and row["pr_auc_lift"] == pytest.approx(1)
+    assert row["recall_at_1pct_fpr"] == 0 and (row["tp"], row["fp"]) == (0, 0)
+
+
 def test_resampling_touches_training_rows_only(spark, matrix):
     def under(df):
         return undersample(df, 1.0, "trans_num")

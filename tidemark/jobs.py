@@ -34,7 +34,7 @@ from tidemark.plans.registry import (
     save_versions,
 )
 from tidemark.plans.summary import final_summary
-from tidemark.plans.training import compare, random_search, train_final, with_score
+from tidemark.plans.training import compare, compare_models, random_search, resampled, train_final, with_score, without_groups
 from tidemark.schemas import HISTORY_FEATURES
 from tidemark.session import ROCKSDB, prepare_session, stored
 from tidemark.sources.readers import (
@@ -169,13 +169,28 @@ def stream_scores(spark: SparkSession, a) -> None:
 
 
 def train(spark: SparkSession, a) -> DataFrame:
-    """Baselines compared on the validation period."""
+    """Baselines compared on the validation period; their fitted pipelines are kept under --models."""
     runs = {name: {"name": name} for name in ("prior", "logreg", "trees") if a.model in ("all", name)}
-    return compare(load_split(spark, a.data, "train"), load_split(spark, a.data, "val"), runs)
+    done = compare_models(load_split(spark, a.data, "train"), load_split(spark, a.data, "val"), runs)
+    if a.models:
+        for name, model in done.models.items():
+            model.write().overwrite().save(f"{a.models}/{name}")
+    return done.metrics
+
+
+def ablate(spark: SparkSession, a) -> DataFrame:
+    """One model with all inputs and one without each group of inputs."""
+    return compare(load_split(spark, a.data, "train"), load_split(spark, a.data, "val"), without_groups(model=a.model))
+
+
+def imbalance(spark: SparkSession, a) -> DataFrame:
+    """Ways of dealing with the rare class: none, weights, and chains of samplers such as undersample:0.1,smote:0.3,tomek."""
+    chains = [[(step.partition(":")[0], float(step.partition(":")[2]) if ":" in step else None) for step in c.split(",")] for c in a.chain]
+    return compare(load_split(spark, a.data, "train"), load_split(spark, a.data, "val"), resampled(chains, model=a.model))
 
 
 def tune(spark: SparkSession, a) -> DataFrame:
-    """Search, final fit, threshold, registration and promotion."""
+    """Search, final fit, threshold, registration and promotion; the trials are kept beside the model."""
     rows, validation = load_split(spark, a.data, "train"), load_split(spark, a.data, "val")
     found = random_search(rows, validation, a.n_trials, a.train_sample)
     final = train_final(rows, validation, found.best)
@@ -183,6 +198,7 @@ def tune(spark: SparkSession, a) -> DataFrame:
     number = (versions.agg(F.max("registered")).first()[0] or 0) + 1
     path = f"{a.models}/v{number}"
     final.model.write().save(path)
+    found.trials.write.parquet(f"{path}-trials")
     new = (str(number), number, None, final.metrics["pr_auc"], final.threshold, FALSE_ALARM_COST, path, False)
     save_versions(promote(versions, spark.createDataFrame([new], VERSION_SCHEMA)), a.registry)
     return read_versions(spark, a.registry)
@@ -252,7 +268,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         sub.add_argument("--max-per-batch", type=int, default=MAX_PER_TRIGGER)
         sub.add_argument("--trigger-seconds", type=int, default=10)
         sub.add_argument("--available-now", action="store_true")
-    job(train, "data").add_argument("--model", choices=["prior", "logreg", "trees", "all"], default="all")
+    sub = job(train, "data")
+    sub.add_argument("--model", choices=["prior", "logreg", "trees", "all"], default="all")
+    sub.add_argument("--models", help="folder for the fitted pipelines")
+    for run in (ablate, imbalance):
+        job(run, "data").add_argument("--model", choices=["logreg", "trees"], default="trees")
+    jobs.choices["imbalance"].add_argument("--chain", action="append", default=[])
     sub = job(tune, "data", "models", "registry")
     sub.add_argument("--n-trials", type=int, default=20)
     sub.add_argument("--train-sample", type=float, default=1.0)

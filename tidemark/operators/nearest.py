@@ -14,7 +14,7 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.sampling import lottery, sample_rows
@@ -27,18 +27,25 @@ _SLACK = 1e-9
 _CELLS_AT_ONCE = 4_000_000
 
 
+def id_column(df: DataFrame, id: str) -> Column:
+    """Whole numbers as longs, all else as text."""
+    whole = df.schema[id].dataType.typeName() in ("byte", "short", "integer", "long")
+    return F.col(id).cast("long" if whole else "string")
+
+
 def nearest(df: DataFrame, id: str, vector: str, k: int = 1, block_rows: int = BLOCK_ROWS, seed: int = 42) -> DataFrame:
     """(id, neighbour, distance, rank) with ranks 1..k by (distance, neighbour); a row is not its own neighbour.
 
-    `id` is a long and `vector` an array of doubles of one length.
+    `vector` holds numbers, as many in every row. Ids are longs or, unless they are whole numbers, texts.
     """
-    points = df.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"))
+    points = df.select(id_column(df, id).alias("id"), F.col(vector).cast("array<double>").alias("x"))
     rows = points.count()
     wanted = max(1, min(MAX_PIVOTS, ceil(rows / block_rows)))
     pivots = np.array([r["x"] for r in sample_rows(points, "id", wanted, seed).select("x").collect()], dtype="float64")
 
+    kind = points.schema["id"].dataType.simpleString()
     grouped = stored(
-        points.mapInPandas(_nearest_pivot(pivots), "id long, x array<double>, cell int, away double"), "cells"
+        points.mapInPandas(_nearest_pivot(pivots), f"id {kind}, x array<double>, cell int, away double"), "cells"
     )
     cells = grouped.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
     cells = cells.withColumn("blocks", F.ceil(F.col("n") / F.lit(block_rows)).cast("int"))
@@ -49,14 +56,14 @@ def nearest(df: DataFrame, id: str, vector: str, k: int = 1, block_rows: int = B
     block = F.pmod(lottery(F.col("id"), seed + 1), F.element_at(blocks_of, F.col("cell"))).cast("int")
     placed = grouped.select("id", "x", "cell", block.alias("block"))
 
-    found = "id long, neighbour long, distance double"
+    found = f"id {kind}, neighbour {kind}, distance double"
     own = stored(placed.groupBy("cell", "block").applyInPandas(_within_block(k), found), "own-block")
     bound = own.groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_d"))
     asking = placed.join(bound, F.col("id") == F.col("_id"), "left").select(
         "id", "x", "cell", "block", F.when(F.col("_n") >= k, F.col("_d")).alias("bound")
     )
     visits = asking.mapInPandas(
-        _visits(pivots, shape), "id long, x array<double>, bound double, to_cell int, to_block int"
+        _visits(pivots, shape), f"id {kind}, x array<double>, bound double, to_cell int, to_block int"
     )
 
     load = visits.groupBy("to_cell", "to_block").agg(F.count(F.lit(1)).alias("_visits"))
@@ -115,7 +122,9 @@ def _best(ids: np.ndarray, others: np.ndarray, d: np.ndarray, k: int) -> pd.Data
     k = min(k, d.shape[1])
     edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
     row, col = np.nonzero((d <= edge) & np.isfinite(d))
-    order = np.lexsort((others[col], d[row, col], row))
+    # Numbers in the order of the ids, which may be texts.
+    order_of = np.unique(others, return_inverse=True)[1]
+    order = np.lexsort((order_of[col], d[row, col], row))
     row, col = row[order], col[order]
     place = np.arange(len(row)) - np.searchsorted(row, row)
     row, col = row[place < k], col[place < k]

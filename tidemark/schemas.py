@@ -81,8 +81,10 @@ CATEGORICAL_FEATURES = ["category"]
 FEATURES = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 
 # Feature groups switched off one at a time in the ablation report.
-HISTORY_GROUP = HISTORY_FEATURES
-AMOUNT_GROUP = ["amt", "log_amt", "card_amt_sum_1h", "card_amt_sum_24h", "amt_vs_card_mean"]
+FEATURE_GROUPS = {
+    "history": HISTORY_FEATURES,
+    "amount": [f for f in NUMERIC_FEATURES if "amt" in f],
+}
 
 # Features compared week by week with the reference period.
 DRIFT_NUMERIC = [
