@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.drift import inject_drift
+from tidemark.operators.drift import inject_drift, numeric_drift
 from tidemark.plans.monitoring import alert_summary, alert_text, drift_distances, week_label, weekly_report
 
 
@@ -81,3 +81,30 @@ def test_small_weeks_are_left_out(spark):
     assert alert_summary(report).first()["weeks"] == 1
     nothing = weekly_report(reference, current, ["amt"], ["category"], min_rows=10**6)
     assert nothing.count() == 0
+
+
+@pytest.mark.parametrize("batch", [7, 10_000])
+def test_many_windows_in_one_sweep(spark, batch):
+    """Forty windows, ties, an empty window, nulls and bins cut over several batches, against numpy."""
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 3 == 0 else f"w{i % 40:02d}", float(round(v, 1)) if i % 17 else None, float(i % 24)) for i, v in enumerate(rng.gamma(2, 3, 4000))]
+    rows += [("w40", None, 1.0)]
+    names = [f"w{i:02d}" for i in range(42)]
+    df = spark.createDataFrame(rows, "week string, amt double, hour double")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = {(r["window"], r["feature"]): r["distance"] for r in numeric_drift(df, "week", names, ["amt", "hour"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    for place, feature in ((1, "amt"), (2, "hour")):
+        ref = np.array([r[place] for r in rows if r[0] is None and r[place] is not None])
+        for name in names:
+            cur = np.array([r[place] for r in rows if r[0] == name and r[place] is not None])
+            if not len(cur):
+                assert got[name, feature] is None
+                continue
+            grid = np.unique(np.concatenate([ref, cur]))
+            share = lambda x: np.searchsorted(np.sort(x), grid[:-1], side="right") / len(x)  # noqa: E731, B023
+            want = (np.abs(share(ref) - share(cur)) * np.diff(grid)).sum() / ref.std()
+            assert got[name, feature] == pytest.approx(want, rel=1e-9)

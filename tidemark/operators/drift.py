@@ -1,19 +1,25 @@
 """Distance between a reference period and each later window, feature by feature.
 
-All windows are measured in one pass. For numeric features the rows are merged per distinct value with
-one counter per window, so the reference is neither copied per window nor broadcast, and the value axis
-is walked bin by bin (see `ordered`). The number of windows must be modest - they become columns.
+All windows are measured in one pass, so the reference is neither copied per window nor broadcast. For numeric features
+the rows are merged to sparse counts per (feature, value, window); the value axis is cut into bins, the counts of a bin
+are sorted by value, and a sweep along them keeps one running count per window. A bin begins with the counts of all
+earlier bins, which come from the small table of bin totals, so bins are swept independently and as streams: a task holds
+one batch of rows and the running counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ratio
-from tidemark.operators.ordered import accumulate, bin_of, quantile_cuts
+from tidemark.operators.ordered import bin_of, quantile_cuts
+from tidemark.session import stored
 
 # Fixed values of the monitoring rules.
 DRIFT_AT = 0.1
@@ -50,41 +56,145 @@ def numeric_drift(
     for f in features:
         doubles = bin_of(doubles, f, cuts[f], f"_bin_{f}", invalid="keep")
     pairs = F.array(
-        *(F.struct(F.lit(f).alias("feature"), F.col(f).alias("value"), F.col(f"_bin_{f}").alias("_bin")) for f in features)
+        *(F.struct(F.lit(i).alias("feature"), F.col(f).alias("value"), F.col(f"_bin_{f}").alias("_bin")) for i, f in enumerate(features))
     )
     long = doubles.select(window, F.inline(pairs)).where(F.col("value").isNotNull())
 
-    names = ["ref", *(f"w{i}" for i in range(len(windows)))]
-    counters = [F.count_if(F.col(window).isNull()).alias("ref")]
-    counters += [F.count_if(F.col(window) == w).alias(f"w{i}") for i, w in enumerate(windows)]
-    tied = long.groupBy("feature", "value", "_bin").agg(*counters)
-    line = accumulate(tied, "value", names, ["feature"])
-
-    width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    ref_share = ratio(F.col("run_ref"), F.col("all_ref"))
-    areas = [
-        F.sum(F.abs(ref_share - ratio(F.col(f"run_{n}"), F.col(f"all_{n}"))) * width).alias(n) for n in names[1:]
-    ]
+    # The reference is number 0, windows follow in the order given.
+    number = F.when(F.col(window).isNull(), 0).otherwise(F.array_position(F.array(*map(F.lit, windows)), F.col(window)))
+    numbered = long.select("feature", "value", "_bin", number.cast("int").alias("at"))
+    counts = numbered.groupBy("feature", "_bin", "value", "at").agg(F.count(F.lit(1)).alias("n"))
+    areas = _swept(stored(counts, "sparse-counts"), len(windows))
     scale_rows = F.array(
-        *(F.struct(F.lit(f).alias("_feature"), F.col(f"_std_{f}").alias("_std")) for f in features)
+        *(F.struct(F.lit(i).alias("_feature"), F.lit(f).alias("_name"), F.col(f"_std_{f}").alias("_std")) for i, f in enumerate(features))
     )
     scale = (
         df.where(F.col(window).isNull())
         .agg(*(F.stddev_pop(F.col(f).cast("double")).alias(f"_std_{f}") for f in features))
         .select(F.inline(scale_rows))
     )
-    labelled = F.array(
-        *(F.struct(F.lit(w).alias("window"), F.col(f"w{i}").alias("_area")) for i, w in enumerate(windows))
-    )
-    return (
-        line.groupBy("feature")
-        .agg(*areas)
-        .join(scale, F.col("feature") == F.col("_feature"))
-        .select("feature", "_std", F.inline(labelled))
-        .select("window", "feature", (F.col("_area") / F.greatest("_std", F.lit(SMALLEST_SCALE))).alias("distance"))
+    name = F.element_at(F.array(*map(F.lit, windows)), F.col("at"))
+    return areas.join(F.broadcast(scale), F.col("feature") == F.col("_feature")).select(
+        name.alias("window"), F.col("_name").alias("feature"), (F.col("area") / F.greatest("_std", F.lit(SMALLEST_SCALE))).alias("distance")
     )
 
 
+def _swept(counts: DataFrame, windows: int) -> DataFrame:
+    """(feature, at, area): area between the cumulative shares of the reference and of each window, 1 to `windows`.
+
+    Null where either has no rows. `counts` is (feature, _bin, value, at, n), unique but for n.
+    """
+    totals = counts.groupBy("feature", "_bin", "at").agg(F.sum("n").alias("n"), F.min("value").alias("first"))
+    # One group has a row per bin and window of a feature.
+    opened = totals.groupBy("feature").applyInPandas(_opened(windows), _OPENED)
+    # Flat columns only: a batch with columns of lists, even null ones, takes several times as long to hand over.
+    rows = counts.select("feature", "_bin", F.lit(1).alias("kind"), "value", "at", "n", F.lit(None).cast("long").alias("total"))
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = opened.unionByName(rows).repartition(tasks, "feature", "_bin").sortWithinPartitions("feature", "_bin", "kind", "value")
+    parts = dealt.mapInArrow(_sweep(windows), "feature int, at int, area double")
+    return parts.groupBy("feature", "at").agg(F.sum("area").alias("area"))
+
+
+_OPENED = "feature int, _bin int, kind int, value double, at int, n long, total long"
+
+
+def _opened(windows: int):
+    """First rows of every bin, one per window: its counts before the bin and in all bins, and the following bin's first value."""
+
+    def opened(totals: pd.DataFrame) -> pd.DataFrame:
+        bins, place = np.unique(totals["_bin"].to_numpy(), return_inverse=True)
+        n = np.zeros((len(bins), windows + 1), dtype="int64")
+        n[place, totals["at"].to_numpy()] = totals["n"].to_numpy()
+        first = np.full(len(bins), np.inf)
+        np.minimum.at(first, place, totals["first"].to_numpy())
+        following = np.append(first[1:], np.nan)
+        size = windows + 1
+        return pd.DataFrame(
+            {
+                "feature": totals["feature"].iloc[0],
+                "_bin": np.repeat(bins, size),
+                "kind": 0,
+                "value": np.repeat(following, size),
+                "at": np.tile(np.arange(size), len(bins)),
+                "n": (n.cumsum(axis=0) - n).ravel(),
+                "total": np.tile(n.sum(axis=0), len(bins)),
+            }
+        )
+
+    return opened
+
+
+def _sweep(windows: int):
+    """Areas of each bin in a stream sorted by (feature, bin, kind, value); rows of kind 0 open a bin."""
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bin_ = None
+        for batch in batches:
+            names = ("feature", "kind", "value", "at", "n")
+            feature, kind, value, at, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
+            edges = (np.flatnonzero(kind[1:] != kind[:-1]) + 1).tolist()
+            for start, stop in zip([0, *edges], [*edges, len(kind)]):
+                if start == stop:
+                    continue
+                if kind[start]:
+                    bin_.add(value[start:stop], at[start:stop], n[start:stop])
+                    continue
+                if bin_ is None or bin_.value is not None:
+                    if bin_ is not None:
+                        yield bin_.closed()
+                    bin_ = _Bin(feature[start], value[start], windows)
+                total = batch.column("total").slice(start, stop - start).to_numpy()
+                bin_.count[at[start:stop]], bin_.total[at[start:stop]] = n[start:stop], total
+        if bin_ is not None:
+            yield bin_.closed()
+
+    return sweep
+
+
+class _Bin:
+    """Running counts of all windows along the values of one bin, and the areas so far."""
+
+    def __init__(self, feature: int, following: float, windows: int):
+        self.feature, self.following, self.value = feature, following, None
+        self.count, self.total = np.zeros(windows + 1, dtype="int64"), np.zeros(windows + 1, dtype="int64")
+        self.area = np.zeros(windows)
+
+    def _shares(self, counts: np.ndarray) -> np.ndarray:
+        with np.errstate(all="ignore"):
+            return counts / self.total
+
+    def _widen(self, value: float) -> None:
+        """The counts so far hold from the last value up to this one."""
+        share = self._shares(self.count)
+        self.area += np.abs(share[0] - share[1:]) * (value - self.value)
+
+    def add(self, value: np.ndarray, at: np.ndarray, n: np.ndarray) -> None:
+        if not len(value):
+            return
+        if self.value is not None:
+            self._widen(value[0])
+        last = np.flatnonzero(np.append(value[1:] != value[:-1], True))
+        step = np.zeros((len(value), len(self.total)), dtype="int64")
+        step[np.arange(len(value)), at] = n
+        counts = self.count + step.cumsum(axis=0)[last]
+        share = self._shares(counts[:-1])
+        self.area += (np.abs(share[:, :1] - share[:, 1:]) * np.diff(value[last])[:, None]).sum(axis=0)
+        self.count, self.value = counts[-1], value[-1]
+
+    def closed(self) -> pa.RecordBatch:
+        if not np.isnan(self.following) and self.value is not None:
+            self._widen(self.following)
+        known = (self.total[1:] > 0) & (self.total[0] > 0)
+        windows = np.arange(1, len(self.total), dtype="int32")
+        return pa.RecordBatch.from_pydict(
+            {
+                "feature": pa.array([self.feature] * len(windows), pa.int32()),
+                "at": pa.array(windows),
+                "area": pa.array(np.where(known, self.area, 0.0), mask=~known),
+            }
+        )
+
+
 def categorical_drift(df: DataFrame, window: str, windows: Sequence[str], features: Sequence[str]) -> DataFrame:
     """Jensen-Shannon distance (natural logarithm) between category shares; (window, feature, distance)."""
     pairs = F.array(

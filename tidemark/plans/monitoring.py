@@ -22,10 +22,6 @@ from tidemark.operators.ordered import quantile_cuts
 from tidemark.operators.ranking import evaluate
 from tidemark.schemas import DRIFT_CATEGORICAL, DRIFT_NUMERIC
 
-# Windows measured per pass; each becomes a column of the drift aggregation.
-WINDOWS_PER_PASS = 32
-
-
 def week_label(time: Column) -> Column:
     """Weeks run from Tuesday 00:00 to Monday 23:59 and are named by the Monday before them."""
     shifted = time.cast("timestamp") - F.expr("interval 1 day")
@@ -66,15 +62,10 @@ def _beside_reference(
 
 def _distances(rows, window, windows, numeric, categorical, cuts) -> DataFrame:
     parts = []
-    for start in range(0, len(windows), WINDOWS_PER_PASS):
-        some = list(windows)[start : start + WINDOWS_PER_PASS]
-        chosen = rows
-        if len(windows) > WINDOWS_PER_PASS:
-            chosen = rows.where(F.col(window).isNull() | F.col(window).isin(some))
-        if numeric:
-            parts.append(numeric_drift(chosen, window, some, numeric, cuts))
-        if categorical:
-            parts.append(categorical_drift(chosen, window, some, categorical))
+    if numeric:
+        parts.append(numeric_drift(rows, window, windows, numeric, cuts))
+    if categorical:
+        parts.append(categorical_drift(rows, window, windows, categorical))
     return reduce(DataFrame.unionByName, parts)
 
 
