@@ -322,6 +322,20 @@ def skip_rest(spark, sf_dir):
     return rounded(in_time_order(rows, skip=1000).select("trans_num", "cc_num", "amt"))
 
 
+def skip_limit_nulls(spark, sf_dir):
+    """Every third row has no time and ids are texts; both borders fall into rows without a time."""
+    rows = transactions(spark, sf_dir)
+    time = F.when(F.col("trans_num") % 3 != 0, F.col("trans_date_trans_time"))
+    rows = rows.withColumn("trans_date_trans_time", time).withColumn("trans_num", F.col("trans_num").cast("string"))
+    return rounded(in_time_order(rows, skip=500, limit=1000).select("trans_num", "cc_num", "amt"))
+
+
+def skip_limit_one_time(spark, sf_dir):
+    """All rows at one time, so the ids alone decide."""
+    rows = transactions(spark, sf_dir).withColumn("trans_date_trans_time", F.lit("2024-01-01").cast("timestamp_ntz"))
+    return rounded(in_time_order(rows, skip=1000, limit=2000).select("trans_num", "cc_num", "amt"))
+
+
 def state_totals(spark, sf_dir):
     """Totals of every card after the train and validation periods."""
     return rounded(snapshot(_past(spark, sf_dir)).totals)
@@ -480,6 +494,8 @@ QUERIES: dict[str, Query] = {
     "busiest_card": busiest_card,
     "skip_limit": skip_limit,
     "skip_rest": skip_rest,
+    "skip_limit_nulls": skip_limit_nulls,
+    "skip_limit_one_time": skip_limit_one_time,
     "state_totals": state_totals,
     "state_recent": state_recent,
     "continued_history": continued_history,

@@ -397,6 +397,11 @@ ORACLES: dict[str, str] = {
     "skip_rest": with_txn(
         "SELECT trans_num, cc_num, round(amt, 6) AS amt FROM txn ORDER BY date_trunc('day', trans_date_trans_time), trans_num OFFSET 1000"
     ),
+    "skip_limit_nulls": with_txn(
+        "SELECT CAST(trans_num AS VARCHAR) AS trans_num, cc_num, round(amt, 6) AS amt FROM txn "
+        "ORDER BY CASE WHEN trans_num % 3 <> 0 THEN trans_date_trans_time END NULLS FIRST, CAST(trans_num AS VARCHAR) LIMIT 1000 OFFSET 500"
+    ),
+    "skip_limit_one_time": with_txn("SELECT trans_num, cc_num, round(amt, 6) AS amt FROM txn ORDER BY trans_num LIMIT 2000 OFFSET 1000"),
     "state_totals": with_txn(
         "SELECT cc_num, max(us) AS last_us, count(*) AS total_count, round(sum(amt), 6) AS total_amount FROM txn "
         "WHERE split <> 'test' GROUP BY cc_num"

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.columns import DEFAULT, TxnColumns
-from tidemark.functions.scalars import epoch_us, iso_date, iso_time, strip_prefix
-from tidemark.operators.ordered import running_totals
+from tidemark.functions.scalars import iso_date, iso_time, strip_prefix
+from tidemark.operators.selection import between, order_keys
 from tidemark.schemas import PII_COLUMNS
 
 # Fixed values of the data preparation.
@@ -67,34 +67,9 @@ def time_split(
     )
 
 
-# Stands for a missing time: before all others, as in Spark's ascending order, and exact as a double.
-_NO_TIME = -(1 << 53)
-
-
 def in_time_order(df: DataFrame, skip: int = 0, limit: int | None = None, cols: TxnColumns = DEFAULT) -> DataFrame:
     """Rows by (time, id) after skipping `skip` of them; all remaining rows unless limited. Null times come first."""
     if skip == 0 and limit is None:
         return df.orderBy(cols.time, cols.id)
-    return _between_positions(df, skip, limit, cols).orderBy(cols.time, cols.id)
-
-
-def _between_positions(df: DataFrame, skip: int, limit: int | None, cols: TxnColumns) -> DataFrame:
-    """The same rows without passing all of them through one task.
-
-    Rows are counted per distinct time; whole times are kept or dropped, and only rows of the time at which
-    a border falls are numbered.
-    """
-    stop = 2**62 if limit is None else skip + limit
-    timed = df.withColumn("_us", F.coalesce(epoch_us(F.col(cols.time)), F.lit(_NO_TIME)))
-    line = running_totals(timed.select("_us"), "_us", {"n": F.count(F.lit(1))})
-    first, last = F.col("run_n") - F.col("n"), F.col("run_n")
-    kept = line.where((last > skip) & (first < stop)).select(
-        F.col("_us").cast("long").alias("_at"), F.greatest(F.lit(skip) - first, F.lit(0)).alias("_drop"),
-        F.least(F.col("n"), F.lit(stop) - first).alias("_upto"), F.col("n").alias("_all"),
-    )
-    inside = timed.join(kept, F.col("_us") == F.col("_at"))
-    whole = (F.col("_drop") == 0) & (F.col("_upto") == F.col("_all"))
-    place = F.row_number().over(Window.partitionBy("_us").orderBy(cols.id))
-    border = inside.where(~whole).withColumn("_place", place)
-    border = border.where((F.col("_place") > F.col("_drop")) & (F.col("_place") <= F.col("_upto")))
-    return inside.where(whole).select(*df.columns).unionByName(border.select(*df.columns))
+    kept = between(df, order_keys(df, cols.time, cols.id), skip, None if limit is None else skip + limit)
+    return kept.orderBy(cols.time, cols.id)
