@@ -7,7 +7,8 @@ from samples import random_rows, txns
 from tidemark.columns import DEFAULT
 from tidemark.functions.rules import alerts_feed, decide, split_valid, with_violations
 from tidemark.functions.scalars import haversine_km, iso_time
-from tidemark.operators.clean import _between_positions, clean, in_time_order, time_split, to_event, to_label_event
+from tidemark.operators.clean import clean, in_time_order, time_split, to_event, to_label_event
+from tidemark.operators.selection import between, order_keys
 from tidemark.plans.dataset import build_dataset
 from tidemark.schemas import EVENT_SCHEMA, FEATURES, PII_COLUMNS, RAW_SCHEMA
 from tidemark.sources.readers import load_raw, load_split, load_transactions
@@ -133,7 +134,8 @@ def test_positions_without_a_single_task(spark, skip, limit):
     want = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))][skip : None if limit is None else skip + limit]
     assert [r["trans_num"] for r in in_time_order(df, skip, limit).collect()] == want
     if skip or limit:
-        rest = _between_positions(df, skip, limit, DEFAULT).orderBy("trans_date_trans_time", "trans_num").collect()
+        keys = order_keys(df, DEFAULT.time, DEFAULT.id)
+        rest = between(df, keys, skip, None if limit is None else skip + limit).orderBy("trans_date_trans_time", "trans_num").collect()
         assert [r["trans_num"] for r in rest] == want
 
 
