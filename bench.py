@@ -29,6 +29,10 @@ HEADLINE = {
     "state_recent": batch.state_recent,
     "weekly_alerts": batch.weekly_alerts,
     "undersample": learning.undersample_rows,
+    "skip_limit": batch.skip_limit,
+    "nearest_neighbours": learning.neighbours,
+    "smote": learning.smote_rows,
+    "tomek": learning.tomek,
     "backfill_stream": streams.backfill_stream,
     "stream_scoring": streams.stream_scoring,
 }

@@ -20,6 +20,7 @@ from tidemark.operators.history import history_features
 from tidemark.operators.labels import label_join
 from tidemark.operators.parity import parity_report
 from tidemark.operators.ranking import confusion, evaluate, ranking_curve
+from tidemark.operators.sketch import merge_sketches, quantile_sketches, rank_error, sketch_quantiles
 from tidemark.operators.state import snapshot
 from tidemark.plans.dataset import build_dataset, model_input
 from tidemark.plans.monitoring import alert_summary, drift_distances, large_enough, week_label, weekly_report
@@ -304,7 +305,25 @@ def class_weight_row(spark, sf_dir):
 
 
 def latency_summary(spark, sf_dir):
-    return rounded(profile.latency_summary(transactions(spark, sf_dir), "amt", ["category"]))
+    return rounded(profile.latency_summary(transactions(spark, sf_dir), "amt", ["category"], time="trans_date_trans_time"))
+
+
+def latency_sketch(spark, sf_dir):
+    """Sketches by category and day, stored, merged to categories: are the ranks of their answers as close as stated?
+
+    Three times the stated error, so that chance does not decide.
+    """
+    rows = transactions(spark, sf_dir).select("category", F.to_date("trans_date_trans_time").alias("day"), "amt")
+    daily = stored(quantile_sketches(rows, "amt", ["category", "day"]), "sketches")
+    shares = {"p50": 0.5, "p99": 0.99}
+    answers = sketch_quantiles(merge_sketches(daily, ["category"]), shares)
+    far = 3 * rank_error()
+    both = rows.select("category", "amt").join(answers.select("category", *shares), "category").groupBy("category")
+    within = []
+    for name, share in shares.items():
+        below, upto = F.avg((F.col("amt") < F.col(name)).cast("double")), F.avg((F.col("amt") <= F.col(name)).cast("double"))
+        within.append(((below <= share + far) & (upto >= share - far)).alias(f"{name}_close"))
+    return both.agg(*within).join(answers.select("category", "n", "parts"), "category")
 
 
 def busiest_card(spark, sf_dir):
@@ -491,6 +510,7 @@ QUERIES: dict[str, Query] = {
     "cost_sensitivity": cost_sensitivity,
     "class_weight": class_weight_row,
     "latency_summary": latency_summary,
+    "latency_sketch": latency_sketch,
     "busiest_card": busiest_card,
     "skip_limit": skip_limit,
     "skip_rest": skip_rest,

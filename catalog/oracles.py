@@ -384,10 +384,15 @@ ORACLES: dict[str, str] = {
     ),
     "latency_summary": with_txn(
         "SELECT category, max(n) AS n, round(max(amt) FILTER (r = n // 2), 6) AS p50, "
-        "round(max(amt) FILTER (r = CAST(floor(n * 0.99::DOUBLE) AS BIGINT) - 1), 6) AS p99 FROM "
-        "(SELECT category, amt, row_number() OVER (PARTITION BY category ORDER BY amt) - 1 AS r, count(*) OVER (PARTITION BY category) AS n FROM txn) "
+        "round(max(amt) FILTER (r = CAST(floor(n * 0.99::DOUBLE) AS BIGINT) - 1), 6) AS p99, "
+        "round(count(*) / ((max(us) - min(us)) / 1000000.0::DOUBLE), 6) AS per_second FROM "
+        "(SELECT category, amt, us, row_number() OVER (PARTITION BY category ORDER BY amt) - 1 AS r, count(*) OVER (PARTITION BY category) AS n FROM txn) "
         "GROUP BY category"
     ),
+    "latency_sketch": with_txn(
+        "SELECT category, count(*) AS n, count(DISTINCT trans_date_trans_time::DATE) AS parts, true AS p50_close, true AS p99_close "
+        "FROM txn GROUP BY category"
+    ),
     "busiest_card": with_txn(
         f"SELECT trans_num, cc_num, card_txn_count_24h FROM ({history_sql()}) ORDER BY card_txn_count_24h DESC, trans_num LIMIT 1"
     ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -162,12 +163,23 @@ def decision_counts(df: DataFrame, decision: str = "decision") -> DataFrame:
     return df.groupBy(decision).agg(F.count(F.lit(1)).alias("n"))
 
 
-def latency_summary(df: DataFrame, latency: str, by: Sequence[str] = ()) -> DataFrame:
-    """Median and 99th percentile as exact ranks n // 2 and int(0.99 n) - 1 of the sorted values."""
+def latency_summary(df: DataFrame, latency: str, by: Sequence[str] = (), time: str | None = None) -> DataFrame:
+    """Median and 99th percentile as exact ranks n // 2 and int(0.99 n) - 1 of the sorted values.
+
+    With `time` also `per_second`: rows with a latency over the seconds between the first and the last of them; null for no span.
+    """
     n = F.col("all_n")
     tail = F.floor(n * F.lit(0.99)) - 1
     ranks = {"p50": F.floor(n / 2), "p99": F.when(tail < 0, n + tail).otherwise(tail)}
-    return values_at_ranks(df, latency, ranks, by)
+    found = values_at_ranks(df, latency, ranks, by)
+    if time is None:
+        return found
+    us = F.unix_micros(F.col(time).cast("timestamp"))
+    span = (F.max(us) - F.min(us)) / F.lit(1e6)
+    known = df.where(F.col(latency).isNotNull()).groupBy(*(F.col(b).alias(f"_by_{b}") for b in by))
+    rates = known.agg(ratio(F.count(F.lit(1)), span).alias("per_second"))
+    same = reduce(lambda a, b: a & b, (F.col(b).eqNullSafe(F.col(f"_by_{b}")) for b in by), F.lit(True))
+    return found.join(rates, same).select(*found.columns, "per_second")
 
 
 def distinct_keys(df: DataFrame, key: str, approximate: bool = False) -> DataFrame:
