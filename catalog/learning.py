@@ -136,6 +136,20 @@ def promotions(spark, sf_dir):
     return rounded(promotion_history(_versions(spark, sf_dir), "version").select("version", "val_pr_auc", "alias"))
 
 
+def promoted(spark, sf_dir):
+    """The last day as a new version against a table of all earlier days, whose best is the champion and whose first is the challenger."""
+    days = stored(_versions(spark, sf_dir).where("val_pr_auc IS NOT NULL"), "versions")
+    last = days.agg(F.max("version")).first()[0]
+    past = days.where(F.col("version") < last)
+    best = past.orderBy(F.desc("val_pr_auc"), "version").limit(1).select(F.col("version").alias("_best"))
+    alias = F.when(F.col("version") == F.col("_best"), "champion").when(F.col("version") == F.col("_first"), "challenger")
+    first = past.agg(F.min("version").alias("_first"))
+    past = past.join(F.broadcast(best), F.lit(True)).join(F.broadcast(first), F.lit(True)).withColumn("alias", alias)
+    new = days.where(F.col("version") == last).withColumn("alias", F.lit(None).cast("string"))
+    columns = ["version", "val_pr_auc", "alias"]
+    return rounded(promote(past.select(*columns), new.select(*columns)).select(*columns))
+
+
 def test_guard(spark, sf_dir):
     """Versions with more than 18 positives count as already evaluated."""
     versions = _versions(spark, sf_dir)
@@ -155,6 +169,7 @@ QUERIES: dict[str, Query] = {
     "random_search": search,
     "importance": importance,
     "score_batch": score_batch,
-    "promote": promotions,
+    "promote": promoted,
+    "promotion_history": promotions,
     "test_guard": test_guard,
 }

@@ -529,6 +529,15 @@ ORACLES |= {
     "tomek_removed": f"WITH {PAIRS}, {LINKS} SELECT vec_id, label % 2 AS y FROM vec "
     "WHERE vec_id NOT IN (SELECT a FROM links UNION SELECT b FROM links)",
     "promote": with_txn(
+        "SELECT version, round(pr_auc, 6) AS val_pr_auc, CASE WHEN version = last THEN new WHEN old <> new THEN old END AS alias FROM ("
+        "SELECT *, CASE WHEN version = best THEN 'champion' WHEN version = first THEN 'challenger' END AS old, "
+        "CASE WHEN (SELECT pr_auc FROM known WHERE version = last) > (SELECT pr_auc FROM known WHERE version = best) "
+        "THEN 'champion' ELSE 'challenger' END AS new FROM known, (SELECT min(version) AS first, max(version) AS last, "
+        "arg_min(version, (-pr_auc, version)) FILTER (version < (SELECT max(version) FROM known)) AS best FROM known))",
+        metrics_sql(0.5, "strftime(trans_date_trans_time, '%Y-%m-%d')"),
+        "known AS (SELECT g AS version, pr_auc FROM metrics WHERE pr_auc IS NOT NULL)",
+    ),
+    "promotion_history": with_txn(
         "SELECT g AS version, round(pr_auc, 6) AS val_pr_auc, CASE WHEN best IS NULL OR pr_auc > best THEN 'champion' ELSE 'challenger' END AS alias "
         "FROM (SELECT *, max(pr_auc) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM metrics)",
         metrics_sql(0.5, "strftime(trans_date_trans_time, '%Y-%m-%d')"),
