@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIGIT = 16
+DIGIT = 11
 _LEAST = -(1 << 63)
 
 
