@@ -65,20 +65,36 @@ def test_cuts_fill_their_bins(tokens):
 
 
 def ids_of(texts):
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    return [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
 
 
 def test_words_equal_whole_texts():
     rng = random.Random(8)
     signs = list("aAbZ  \n\t\x1c\x1f\x85\xa0　éÉİſÅ̊'sS12.!,漢字") + ["'ll", " the", "J̌", "́", "<|endoftext|>", "ΑΣ"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
-    found = packing.WordIds(PATH).encode(texts)
+    check_ids(texts)
+
+
+def check_ids(texts):
+    found = list(map(packing.WordIds(PATH).ids, texts))
     want = [b"".join(i.to_bytes(4, "little") for i in ids) for ids in ids_of(texts)]
     assert found == want
 
 
+def test_every_latin_character_between_others():
+    some = ["a", "1", ",", "É", " "]
+    texts = [a + chr(c) + b for c in range(0x300) for a in some for b in some]
+    check_ids(texts + [chr(c) * 2 for c in range(0x300)])
+
+
+def test_literals_of_special_tokens_are_those_tokens():
+    literals = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", " ", "a", "É漢", "'s", "\x1d"]
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(literals) for _ in range(rng.randint(0, 8))) for _ in range(2000)]
+    assert ids_of(["a <|endoftext|> b"])[0][1] == 49407
+    check_ids(texts)
+
+
 def check_packed(rows, texts):
     """Every id in one piece, pieces gapless in their sequences, little padding."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)

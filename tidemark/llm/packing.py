@@ -13,9 +13,8 @@ from __future__ import annotations
 import os
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,9 +31,9 @@ SLACK = 8
 END_OF_DOCUMENT = 1
 _WORKER_PIECES = 200_000
 _MERGED_WORKERS = 64
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
+_LONG_WORD = 64
 _PORTION = 2_000_000
-_TOGETHER = 1000
 
 
 @lru_cache
@@ -57,16 +56,49 @@ def cut(tokens: int, capacity: int = CAPACITY, slack: int = SLACK) -> list[int]:
 
 
 # The tokenizer lower-cases, drops white space and never joins what white space, digits or kinds of characters
-# part, so the ids of words may be remembered. The first pattern is the tokenizer's own for ASCII text.
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\f\va-z0-9]+")
+# part, so the ids of words may be remembered. Latin text (no combining marks, so nothing to compose) is cut into the
+# tokenizer's own words; in other text only white space parts. Letters, digits and white space up to U+02AF
+# as they are after lower-casing, which leads out of that range for two letters.
+_LETTERS = "a-zªµºß-öø-ʯⱥⱦ"
+_DIGITS = "0-9²³¹¼-¾"
+_WHITE = " \t\n\r\f\v\x85\xa0"
+_NOT_LATIN = re.compile("[^\x00-ʯ]")
+_LATIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_WHITE}{_LETTERS}{_DIGITS}]+")
 _UNSURE = re.compile("[\x1c-\x1f]")
 
 
+class _Remembered(dict):
+    """Ids of words, made when a word is first asked for; long words are not kept."""
+
+    def __init__(self, ids_of: Callable[[str], bytes]):
+        self.ids_of, self.before = ids_of, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.ids_of(word)
+        if len(word) <= _LONG_WORD:
+            self[word] = ids
+        return ids
+
+    def forget(self) -> None:
+        """Of too many words those stay that have been asked for since the last time."""
+        if len(self) > _REMEMBERED:
+            self.before = self.copy()
+            self.clear()
+
+
+def _byte_letters() -> str:
+    """The character that stands for each byte: printable ones for themselves, the others from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(others)) for b in range(256))
+
+
 class WordIds:
-    """Ids of whole texts as little-endian unsigned 32-bit numbers.
+    """Ids of whole texts as little-endian unsigned 32-bit numbers, equal to those of the tokenizer's plain call.
 
-    Literals of special tokens, such as <|endoftext|>, are encoded as the ordinary text they are, so no document can hold
-    an end of document inside. The tokenizer's plain call makes one special token of each; other texts get the same ids.
+    Literals of added tokens, such as <|endoftext|>, are cut out first and become that one token, as in that call.
     """
 
     def __init__(self, path: str):
@@ -74,37 +106,34 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def _words(self, text: str) -> list[str]:
-        if text.isascii():
-            return _ASCII_WORDS.findall(text.lower())
-        return [text] if _UNSURE.search(text) else text.split()
-
-    def _ids_of_words(self, words: list[str]) -> Iterator[bytes]:
-        """Many words are encoded as one text; the places of the tokens in it tell their words."""
-        for first in range(0, len(words), _TOGETHER):
-            some = words[first : first + _TOGETHER]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4").tobytes()
-            at = np.fromiter((start for start, _ in found.offsets), dtype="int64", count=len(found))
-            starts = np.cumsum([0, *(len(w) + 1 for w in some)])
-            edges = (4 * np.searchsorted(at, starts)).tolist()
-            yield from (ids[a:b] for a, b in zip(edges, edges[1:]))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut_up = [self._words(t) for t in texts]
-        here = set(chain.from_iterable(cut_up))
-        if len(self.known) > _REMEMBERED:
-            self.known = {w: self.known[w] for w in here & self.known.keys()}
-        unknown = [w for w in here if w not in self.known]
-        self.known.update(zip(unknown, self._ids_of_words(unknown)))
-        ids = [b"".join(map(self.known.__getitem__, words)) for words in cut_up]
-        for word in unknown:
-            if len(word) > 64:
-                del self.known[word]
-        return ids
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
+        added = {token.content: i for i, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = {literal: i.to_bytes(4, "little") for literal, i in added.items()}
+        self.literals = re.compile(f"({'|'.join(map(re.escape, added))})") if added else None
+        self.latin, self.other = _Remembered(self._ids_of_latin), _Remembered(self._ids_of_other)
+
+    def _ids_of_latin(self, word: str) -> bytes:
+        """One of the tokenizer's own words, lower-cased: only its bytes are left to be merged."""
+        if not (word.isascii() and word.isprintable()):
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([token.id.to_bytes(4, "little") for token in self.merge(word)])
+
+    def _ids_of_other(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        if text.isascii() or not _NOT_LATIN.search(text):
+            return b"".join(map(self.latin.__getitem__, _LATIN_WORDS.findall(text.lower())))
+        words = [text] if _UNSURE.search(text) else text.split()
+        return b"".join(map(self.other.__getitem__, words))
+
+    def ids(self, text: str) -> bytes:
+        self.latin.forget()
+        self.other.forget()
+        if self.literals and self.literals.search(text):
+            return b"".join(self.added.get(part) or self._plain(part) for part in self.literals.split(text))
+        return self._plain(text)
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -133,8 +162,8 @@ def token_pieces(
             texts, at = batch.column(2).to_pylist(), 0
             for some in in_portions(texts, _PORTION):
                 out: list[list] = [[], [], [], [], [], [], []]
-                for i, found in enumerate(words.encode(some), at):
-                    ids = found + end
+                for i, text in enumerate(some, at):
+                    ids = words.ids(text) + end
                     tokens, start = len(ids) // 4, 0
                     for length in cut(tokens, capacity, slack):
                         piece = ids[4 * start : 4 * (start + length)]
