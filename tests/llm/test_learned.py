@@ -1,6 +1,8 @@
+import math
 import zlib
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tidemark.llm import license_scan, quality, queries, toxicity
@@ -127,3 +129,55 @@ def test_licences_of_odd_rows(spark, odd, nothing, license_model):
     rows = license_scan.scan(spark.createDataFrame(texts, "doc_id long, text string, family string"), license_model).collect()
     got = sorted((str(r.doc_id), r.paragraph, r.family) for r in rows)
     assert got == [("1", 2, "MIT"), ("1", 2, "MIT"), ("2", 1, "GPL"), ("None", 0, "Apache")]
+
+
+#: What each share of characters counts, in the words of another regular expression library.
+SHARES = {
+    "letters": r"\p{L}",
+    "capitals": r"\p{Lu}",
+    "digits": r"\p{N}",
+    "spaces": r"[ \t\n\x0b\f\r]",
+    "ends": "[.!?]",
+    "signs": r"[#$%&*@^~<>{}=+_/\\]",
+    "bars": r"\|",
+    "shouts": "!",
+    "lines": "\n",
+}
+
+
+def plain_statistics(text):
+    text = text or ""
+    words, some = text.split(" "), max(len(text), 1)
+    found = {name: 1 - (len(text) - len(regex.findall(p, text))) / some for name, p in SHARES.items()}
+    stretches = [words[min(i, max(len(words) - 50, 0)) :][:50] for i in range(0, len(words), 50)]
+    found["word_chars"] = len(text) / len(words)
+    found["fresh_words"] = sum(len(set(s)) / len(s) for s in stretches) / len(stretches)
+    return found
+
+
+def plain_score(model, text):
+    found, total = plain_statistics(text), model.bias
+    for rule, weight in model.rules:
+        total += weight * all(found[n] <= b if sign == "<=" else found[n] > b for n, sign, b in rule.tests)
+    return 1 / (1 + math.exp(-total))
+
+
+@pytest.fixture(scope="module")
+def quality_model(documents, labels):
+    return quality.fit(documents, labels)
+
+
+def test_quality_equals_rules_in_plain_python(odd, documents, quality_model):
+    assert quality_model.rules
+    for table in (documents, odd.select("doc_id", "text")):
+        for r in quality.score(table, quality_model).collect():
+            assert abs(r.score - plain_score(quality_model, r.text)) < 1e-9
+
+
+def test_the_last_words_of_a_text_count(spark, documents, labels, quality_model):
+    good = [r.text for r in documents.join(labels, "doc_id").where("quality = 1").orderBy("doc_id").limit(400).collect()]
+    good = [" ".join(t.split(" ")[:50]) for t in good if len(t.split(" ")) >= 50][:60]
+    rows = [(n, f"{t} " + " ".join(["word"] * n)) for t in good for n in (48, 49, 50, 51)]
+    scored = quality.score(spark.createDataFrame(rows, "n int, text string"), quality_model).collect()
+    kept = {n: sum(r.score >= 0.5 for r in scored if r.n == n) for n in (48, 49, 50, 51)}
+    assert len(good) >= 30 and max(kept.values()) - min(kept.values()) <= 0.1 * len(good), kept

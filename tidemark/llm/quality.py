@@ -38,12 +38,15 @@ def _without(text: Column, pattern: str) -> Column:
 def _fresh_share(words: Column) -> Column:
     """Mean share of distinct words in consecutive stretches of STRETCH words, over the whole text.
 
-    A last, shorter stretch counts only where it is the only one, so that the share does not depend on the length.
+    The last stretch is the last STRETCH words and overlaps the one before, so every word counts and the share does not
+    depend on the length; a text with fewer words is one stretch.
     """
 
     def of(all_words: Column) -> Column:
-        last = F.greatest(F.floor(F.size(all_words) / STRETCH), F.lit(1)).cast("int") - 1
-        some = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_words, i * STRETCH + 1, STRETCH))
+        last = F.ceil(F.size(all_words) / STRETCH).cast("int") - 1
+        latest = F.greatest(F.size(all_words) - STRETCH, F.lit(0))
+        starts = F.transform(F.sequence(F.lit(0), last), lambda i: F.least(i * STRETCH, latest) + 1)
+        some = F.transform(starts, lambda start: F.slice(all_words, start, STRETCH))
         shares = F.transform(some, lambda s: F.size(F.array_distinct(s)) / F.size(s))
         return F.aggregate(shares, F.lit(0.0), lambda total, share: total + share) / F.size(shares)
 
