@@ -75,9 +75,10 @@ def test_jobs_from_raw_files_to_reports(spark, folder, monkeypatch):
     monkeypatch.setattr(training.random_search, "__defaults__", (1.0, training.SEARCH_SPACE, 42, training.DEFAULT))
     registry = ["--data", at("data"), "--registry", at("registry")]
     job("tune", *registry, "--models", at("models"), "--n-trials", "1")
-    trials = spark.read.parquet(at("models/v1-trials")).collect()
+    first = champion(read_versions(spark, at("registry")))
+    assert first["version"] == "1"
+    trials = spark.read.parquet(f"{first['model_path']}-trials").collect()
     assert len(trials) == 1 and trials[0]["pr_auc"] > 0
-    assert champion(read_versions(spark, at("registry")))["version"] == "1"
     table = {r["metric"]: r for r in job("final-evaluation", *registry, "--out", at("final")).collect()}
     assert table["rows"]["test"] == 900 and table["frauds"]["val"] > 0
     with pytest.raises(SystemExit):

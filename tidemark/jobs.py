@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,12 +27,12 @@ from tidemark.plans.monitoring import alert_summary, weekly_report
 from tidemark.plans.registry import (
     VERSION_SCHEMA,
     champion,
+    change_versions,
     load_champion,
     mark_evaluated,
     not_yet_evaluated,
     promote,
     read_versions,
-    save_versions,
 )
 from tidemark.plans.summary import final_summary
 from tidemark.plans.training import compare, compare_models, random_search, resampled, train_final, with_score, without_groups
@@ -194,14 +195,17 @@ def tune(spark: SparkSession, a) -> DataFrame:
     rows, validation = load_split(spark, a.data, "train"), load_split(spark, a.data, "val")
     found = random_search(rows, validation, a.n_trials, a.train_sample)
     final = train_final(rows, validation, found.best)
-    versions = read_versions(spark, a.registry)
-    number = (versions.agg(F.max("registered")).first()[0] or 0) + 1
-    path = f"{a.models}/v{number}"
+    # Versions get their numbers when they are committed, so files have names of their own.
+    path = f"{a.models}/{uuid.uuid4().hex}"
     final.model.write().save(path)
     found.trials.write.parquet(f"{path}-trials")
-    new = (str(number), number, None, final.metrics["pr_auc"], final.threshold, FALSE_ALARM_COST, path, False)
-    save_versions(promote(versions, spark.createDataFrame([new], VERSION_SCHEMA)), a.registry)
-    return read_versions(spark, a.registry)
+
+    def register(versions: DataFrame) -> DataFrame:
+        number = (versions.agg(F.max("registered")).first()[0] or 0) + 1
+        new = (str(number), number, None, final.metrics["pr_auc"], final.threshold, FALSE_ALARM_COST, path, False)
+        return promote(versions, spark.createDataFrame([new], VERSION_SCHEMA))
+
+    return change_versions(spark, a.registry, register)
 
 
 def final_evaluation(spark: SparkSession, a) -> DataFrame:
@@ -215,7 +219,7 @@ def final_evaluation(spark: SparkSession, a) -> DataFrame:
     scored = stored(with_score(model, load_split(spark, a.data, ["val", "test"])), "scored")
     table = final_summary(scored, row["threshold"], row["fp_cost"])
     write_report(table, a.out)
-    save_versions(mark_evaluated(versions, row["version"]), a.registry)
+    change_versions(spark, a.registry, lambda latest: mark_evaluated(latest, row["version"]))
     return table
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import path_exists
+from tidemark.session import create_once, delete_path, read_small_files
 
 VERSION_SCHEMA = T.StructType(
     [
@@ -71,23 +75,53 @@ def load_champion(versions: DataFrame) -> tuple[PipelineModel, Row]:
     return PipelineModel.load(row["model_path"]), row
 
 
-def save_versions(versions: DataFrame, path: str) -> None:
-    """Add the table as the next revision; earlier revisions stay readable."""
-    spark = versions.sparkSession
-    latest = _revisions(spark, path)
-    number = 0 if latest is None else latest.agg(F.max("revision")).first()[0] + 1
-    versions.select(*VERSION_SCHEMA.fieldNames()).withColumn("revision", F.lit(number)).write.mode("append").parquet(path)
+class LostRace(RuntimeError):
+    """Other writers were first, every time."""
+
+
+def change_versions(
+    spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame], attempts: int = 20
+) -> DataFrame:
+    """Apply `change` to the latest table and commit the result as the next revision; earlier revisions stay.
+
+    Writers need no lock. The table is written under a name of its own, then the revision's number is claimed by a
+    small file that only one writer can create. Whoever loses reads the new latest table and decides again, so
+    `change` may run several times and must depend on its argument alone.
+    """
+    for _ in range(attempts):
+        number, latest = _latest(spark, path)
+        name = uuid.uuid4().hex
+        changed = change(_table(spark, path, latest))
+        changed.select(*VERSION_SCHEMA.fieldNames()).coalesce(1).write.parquet(f"{path}/{_TABLES}/{name}")
+        if create_once(spark, f"{path}/{_REVISIONS}/{number + 1:09d}", name):
+            return _table(spark, path, name)
+        delete_path(spark, f"{path}/{_TABLES}/{name}")
+    raise LostRace(f"{path}: no revision committed in {attempts} attempts")
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
     """The latest revision, or an empty table."""
-    rows = _revisions(spark, path)
-    if rows is None:
-        return spark.createDataFrame([], VERSION_SCHEMA)
-    newest = rows.agg(F.max("revision")).first()[0]
-    return rows.where(F.col("revision") == newest).drop("revision")
+    return _table(spark, path, _latest(spark, path)[1])
+
+
+def revisions(spark: SparkSession, path: str) -> DataFrame:
+    """All revisions one below the other, with their number."""
+    numbered = [_table(spark, path, name).withColumn("revision", F.lit(n)) for n, name in _committed(spark, path)]
+    return reduce(DataFrame.unionByName, numbered, _table(spark, path, None).withColumn("revision", F.lit(0)))
 
 
-def _revisions(spark: SparkSession, path: str) -> DataFrame | None:
-    layout = T.StructType([*VERSION_SCHEMA.fields, T.StructField("revision", T.IntegerType())])
-    return spark.read.schema(layout).parquet(path) if path_exists(spark, path) else None
+_TABLES, _REVISIONS = "tables", "revisions"
+
+
+def _committed(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    return sorted((int(n), name) for n, name in read_small_files(spark, f"{path}/{_REVISIONS}").items())
+
+
+def _latest(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    return max(_committed(spark, path), default=(0, None))
+
+
+def _table(spark: SparkSession, path: str, name: str | None) -> DataFrame:
+    if name is None:
+        return spark.createDataFrame([], VERSION_SCHEMA)
+    return spark.read.schema(VERSION_SCHEMA).parquet(f"{path}/{_TABLES}/{name}")
