@@ -487,6 +487,11 @@ ORACLES |= {
     "live_decisions": with_txn(
         f"SELECT {iso(HOUR_START)} AS window_start, {DECISION} AS decision, count(*) AS n FROM txn GROUP BY ALL"
     ),
+    "live_latency": with_txn(
+        f"SELECT {DECISION} AS decision, count(*) AS events, count(*) AS n, round(count(*) / (SELECT "
+        "(date_diff('day', min(trans_date_trans_time), max(trans_date_trans_time)) + 1) * 86400.0::DOUBLE FROM txn), 9) AS per_second, "
+        "true AS p50_close, true AS p99_close FROM txn GROUP BY ALL"
+    ),
     "label_join_stream": with_txn(
         "SELECT CAST(trans_num AS VARCHAR) AS transaction_id, CASE WHEN trans_num % 3 <> 0 THEN is_fraud END AS is_fraud FROM txn"
     ),

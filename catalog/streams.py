@@ -24,7 +24,8 @@ from tidemark.session import ROCKSDB, new_working_path, stored
 from tidemark.sources.readers import decode_events, file_messages
 from tidemark.sources.writers import keyed_messages, micro_batch_sink, publish_files
 from tidemark.streaming.keyed_state import keyed_history
-from tidemark.streaming.live import live_decisions
+from tidemark.operators.sketch import rank_error
+from tidemark.streaming.live import latency_report, live_decisions, live_latency
 from tidemark.streaming.scoring import EVENT_COLUMNS, scorer
 from tidemark.streaming.table_state import TableStateHistory
 
@@ -167,6 +168,42 @@ def live_decision_counts(spark, sf_dir):
     return newest.withColumn("window_start", iso_time(F.col("window_start")))
 
 
+def live_latency_sketches(spark, sf_dir):
+    """Sketches of amounts per day and decision from a stream, every slice delivered twice; merged to decisions.
+
+    Are the ranks of the answers as close as stated? Three times the stated error, so that chance does not decide.
+    """
+    rows = transactions(spark, sf_dir).select(
+        F.col("trans_num").cast("string").alias("transaction_id"), F.col("trans_date_trans_time").alias("event_time"),
+        decide(F.col("score"), 0.5, 0.8).alias("decision"), F.col("amt").alias("latency_ms"), "split",
+    )
+    rows = stored(rows, "decided")
+    work = new_working_path(spark, "stream")
+
+    def start():
+        source = spark.readStream.schema(rows.drop("split").schema).parquet(f"{work}/in")
+        writer = live_latency(source, width="1 day").writeStream.outputMode("append").foreachBatch(micro_batch_sink(f"{work}/out"))
+        return writer.option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start()
+
+    for name in SPLITS:
+        for _ in range(2):
+            rows.where(F.col("split") == name).drop("split").write.mode("append").parquet(f"{work}/in")
+        start().awaitTermination()
+    # A later row moves the watermark on, so that the last windows close; its own stays open.
+    closing = rows.agg((F.max("event_time") + F.expr("interval 30 days")).alias("event_time")).select(
+        F.lit("closing").alias("transaction_id"), "event_time", F.lit("closing").alias("decision"), F.lit(0.0).alias("latency_ms")
+    )
+    closing.write.mode("append").parquet(f"{work}/in")
+    start().awaitTermination()
+    answers = stored(latency_report(spark.read.parquet(f"{work}/out")), "answers")
+    far, within = 3 * rank_error(), []
+    for name, share in (("p50", 0.5), ("p99", 0.99)):
+        below, upto = (F.avg(test.cast("double")) for test in (F.col("latency_ms") < F.col(name), F.col("latency_ms") <= F.col(name)))
+        within.append(((below <= share + far) & (upto >= share - far)).alias(f"{name}_close"))
+    close = rows.join(answers.select("decision", "p50", "p99"), "decision").groupBy("decision").agg(*within)
+    return rounded(close.join(answers.select("decision", "events", "n", "per_second"), "decision"), 9)
+
+
 def label_join_stream_rows(spark, sf_dir):
     """Two thirds of the decisions get a label a day later; the others are emitted without one after two days."""
     rows = transactions(spark, sf_dir)
@@ -209,5 +246,6 @@ QUERIES: dict[str, Query] = {
     "stream_scoring": stream_scoring,
     "stream_dead_letter": stream_dead_letter,
     "live_decisions": live_decision_counts,
+    "live_latency": live_latency_sketches,
     "label_join_stream": label_join_stream_rows,
 }

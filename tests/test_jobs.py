@@ -87,3 +87,6 @@ def test_jobs_from_raw_files_to_reports(spark, folder, monkeypatch):
     assert job("monitor", *registry, "--out", at("weekly"), "--inject-drift", "2020-08-01").count() == 0
     job("stream-scores", *stream, "--registry", at("registry"), "--out", at("live"), "--checkpoint", at("live-c"))
     assert spark.read.parquet(at("live/scored")).groupBy("decision").count().agg(F.sum("count")).first()[0] == 900
+    latency = ["--input", at("live/scored"), "--out", at("live"), "--checkpoint", at("live-c"), "--available-now"]
+    found = job("stream-latency", *latency).collect()
+    assert 850 < sum(r["events"] for r in found) <= 900 and all(r["n"] == r["events"] and 0 < r["p50"] <= r["p99"] for r in found)

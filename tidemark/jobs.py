@@ -59,6 +59,7 @@ from tidemark.sources.writers import (
     write_report,
 )
 from tidemark.streaming.keyed_state import keyed_history
+from tidemark.streaming.live import latency_report, live_latency
 from tidemark.streaming.scoring import EVENT_COLUMNS, scorer
 from tidemark.streaming.table_state import TableStateHistory
 
@@ -169,6 +170,15 @@ def stream_scores(spark: SparkSession, a) -> None:
         query.awaitTermination()
 
 
+def stream_latency(spark: SparkSession, a) -> DataFrame | None:
+    """Decisions, latency and rate of the scored events under --input, kept per hour as sketches."""
+    layout = spark.read.parquet(a.input).drop("batch_id").schema
+    found = live_latency(spark.readStream.schema(layout).option("recursiveFileLookup", True).parquet(a.input))
+    sink = found.writeStream.outputMode("append").foreachBatch(micro_batch_sink(f"{a.out}/latency"))
+    sink.option("checkpointLocation", f"{a.checkpoint}/latency").trigger(**_trigger(a)).start().awaitTermination()
+    return latency_report(spark.read.parquet(f"{a.out}/latency"))
+
+
 def train(spark: SparkSession, a) -> DataFrame:
     """Baselines compared on the validation period; their fitted pipelines are kept under --models."""
     runs = {name: {"name": name} for name in ("prior", "logreg", "trees") if a.model in ("all", name)}
@@ -272,6 +282,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         sub.add_argument("--max-per-batch", type=int, default=MAX_PER_TRIGGER)
         sub.add_argument("--trigger-seconds", type=int, default=10)
         sub.add_argument("--available-now", action="store_true")
+    sub = job(stream_latency, "input", "out", "checkpoint")
+    sub.add_argument("--trigger-seconds", type=int, default=10)
+    sub.add_argument("--available-now", action="store_true")
     sub = job(train, "data")
     sub.add_argument("--model", choices=["prior", "logreg", "trees", "all"], default="all")
     sub.add_argument("--models", help="folder for the fitted pipelines")

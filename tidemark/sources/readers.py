@@ -52,7 +52,7 @@ def kafka_messages(
     max_per_trigger: int = MAX_PER_TRIGGER,
     starting: str = "earliest",
 ) -> DataFrame:
-    """Message bodies of a topic as text. Needs the Kafka connector on the class path."""
+    """Message bodies of a topic as text, with the time of their arrival. Needs the Kafka connector on the class path."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -60,25 +60,25 @@ def kafka_messages(
         .option("startingOffsets", starting)
         .option("maxOffsetsPerTrigger", max_per_trigger)
         .load()
-        .select(F.col("value").cast("string").alias("json"))
+        .select(F.col("value").cast("string").alias("json"), F.col("timestamp").alias("arrived_at"))
     )
 
 
 def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None = 1) -> DataFrame:
-    """Lines of text files as message bodies, oldest files first."""
+    """Lines of text files as message bodies, oldest files first; they arrived when their file was written."""
     reader = spark.readStream.format("text")
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path).select(F.col("value").alias("json"))
+    return reader.load(path).select(F.col("value").alias("json"), F.col("_metadata.file_modification_time").alias("arrived_at"))
 
 
 def decode_events(messages: DataFrame) -> DataFrame:
-    """Message text to event columns, with `event_time` and `event_us`.
+    """Message text to event columns, with `event_time` and `event_us`; other columns of the messages are kept.
 
     A body that is no JSON gives nulls in every column and an unparseable time gives a null time, so
     both fail the row contract and end up with the rejected rows instead of stopping the stream.
     """
-    fields = messages.select("json", F.from_json("json", EVENT_SCHEMA).alias("_e")).select("json", "_e.*")
+    fields = messages.withColumn("_e", F.from_json("json", EVENT_SCHEMA)).select(*messages.columns, "_e.*")
     timed = fields.withColumn("event_time", parse_iso(F.col("timestamp")))
     return timed.withColumn("event_us", epoch_us(F.col("event_time")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.columns import TxnColumns
@@ -25,10 +25,20 @@ def online_features(events: DataFrame) -> DataFrame:
     )
 
 
+def _latency(events: DataFrame) -> list[Column]:
+    if "arrived_at" not in events.columns:
+        return []
+    waited = F.unix_micros(F.current_timestamp()) - F.unix_micros("arrived_at")
+    return [(waited / 1000).alias("latency_ms")]
+
+
 def scorer(
     model: Transformer, threshold: float, version: str, decline_at: float = DECLINE_AT
 ) -> Callable[[DataFrame], DataFrame]:
-    """Events with history features to scored events."""
+    """Events with history features to scored events.
+
+    Where it is known when an event arrived, `latency_ms` is the time from then until its micro-batch is scored.
+    """
 
     def score(events: DataFrame) -> DataFrame:
         scored = with_score(model, online_features(events))
@@ -40,6 +50,7 @@ def scorer(
             decide(F.col("score"), threshold, decline_at).alias("decision"),
             F.lit(float(threshold)).alias("threshold"),
             F.lit(version).alias("model_version"),
+            *_latency(scored),
         )
 
     return score
