@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import nearest as module
 from tidemark.operators.nearest import nearest
 from tidemark.operators.ranking import evaluate
 from tidemark.operators.resampling import remove_tomek_links, smote, tomek_links
@@ -225,3 +227,22 @@ def test_the_test_period_is_opened_once(spark):
     done = spark.createDataFrame([("1",)], "version string")
     assert [r[0] for r in not_yet_evaluated(asked, done).collect()] == ["2"]
     assert not_yet_evaluated(asked, done, force=True).count() == 2
+
+
+def test_a_row_goes_to_a_block_once(spark):
+    """However many groups hold something near, a row travels once per block: most groups are in reach in many dimensions."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 24))
+    x[700:] = x[500]
+    x += 1e4
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, x array<double>")
+    pivots, shape = x[:300], {c: (3, 9.0) for c in range(300)}
+    blocks_of = module._in_blocks(pivots, shape, 900, module.BLOCKS, 3)
+    home, free = pa.array([0] * 300, "int32"), pa.array([None] * 300, "float64")
+    batch = pa.record_batch([pa.array(range(300)), pa.array(pivots.tolist()), pa.array(range(300)), home, free], ["id", "x", "no", "block", "bound"])
+    sent = pa.Table.from_batches(module._visits(pivots, shape, blocks_of)([batch]))
+    assert sent.num_rows == 300 * (module.BLOCKS - 1) and sent.group_by(["no", "to_block"]).aggregate([]).num_rows == sent.num_rows
+    got = {}
+    for r in sorted(nearest(df, "id", "x", 3, block_rows=10).collect(), key=lambda r: (r["id"], r["rank"])):
+        got.setdefault(r["id"], []).append(r["neighbour"])
+    assert got == slow_nearest(x, 3)
