@@ -9,9 +9,11 @@ from tidemark.operators.ranking import evaluate
 from tidemark.operators.resampling import remove_tomek_links, smote, tomek_links
 from tidemark.operators.sampling import sample_fraction, sample_rows, undersample
 from tidemark.plans.registry import VERSION_SCHEMA, champion, load_champion, not_yet_evaluated, promote, promotion_history
+from tidemark.plans import training
 from tidemark.plans.training import (
     SEARCH_SPACE,
     compare,
+    dealt,
     draw_params,
     fit_model,
     importances,
@@ -246,3 +248,18 @@ def test_a_row_goes_to_a_block_once(spark):
     for r in sorted(nearest(df, "id", "x", 3, block_rows=10).collect(), key=lambda r: (r["id"], r["rank"])):
         got.setdefault(r["id"], []).append(r["neighbour"])
     assert got == slow_nearest(x, 3)
+
+
+def test_fits_read_equal_parts(spark, matrix, monkeypatch):
+    """A fit alone has a part per core, each of many fits has few, and no part is too large; small tables stay as they are."""
+    assert training.parts_of(280_000, 12) == 12 and training.parts_of(280_000, 12, 16) == 2 and training.parts_of(280_000, 12, 3) == 8
+    assert training.parts_of(17_000_000, 12) == 36 and training.parts_of(17_000_000, 12, 16) * training.PART_ROWS >= 17_000_000
+    uneven = spark.range(60_000, numPartitions=3).where("id < 20001 or id % 7 = 0")
+    sizes = dealt(uneven, 60_000).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) == 8 and sum(sizes) == uneven.count() and max(sizes) - min(sizes) <= 3
+    assert dealt(matrix, 600) is matrix
+    started = []
+    monkeypatch.setattr(training, "compare", lambda train, val, runs, cols: started.extend(runs) or spark.createDataFrame([(r, 0.5) for r in runs], "run string, pr_auc double"))
+    found = random_search(matrix, matrix, 6).trials.orderBy("trial").collect()
+    work = [found[int(t)]["n_estimators"] * (found[int(t)]["max_depth"] + 1) for t in started]
+    assert [r["trial"] for r in found] == list(range(6)) and work == sorted(work, reverse=True)
