@@ -263,3 +263,33 @@ def test_fits_read_equal_parts(spark, matrix, monkeypatch):
     found = random_search(matrix, matrix, 6).trials.orderBy("trial").collect()
     work = [found[int(t)]["n_estimators"] * (found[int(t)]["max_depth"] + 1) for t in started]
     assert [r["trial"] for r in found] == list(range(6)) and work == sorted(work, reverse=True)
+
+
+def test_fits_share_a_table_without_lineage(spark, matrix, monkeypatch):
+    """Inputs that runs share are dealt once, and no fit reads its rows through files and shuffles; samplers get a table of their own."""
+    dealt_tables, read = [], []
+    monkeypatch.setattr(training, "dealt", lambda df, rows, at_once=1: dealt_tables.append(rows) or df.repartition(2))
+    inner = training.classifier
+
+    class Watched:
+        def __init__(self, *args):
+            self.estimator = inner(*args)
+
+        def fit(self, df):
+            lineage = df.select("features").rdd._jrdd.rdd().toDebugString()
+            read.append((df.rdd.getNumPartitions(), df.count(), "FileScan" in lineage or "ShuffledRowRDD" in lineage))
+            return self.estimator.fit(df)
+
+    monkeypatch.setattr(training, "classifier", Watched)
+    runs = {"weighted": {"name": "logreg"}, "plain": {"name": "logreg", "class_weighting": False}, **resampled([[("undersample", 0.9)]], model="logreg")}
+    table = {r["run"]: r["pr_auc"] for r in compare(matrix, matrix, runs).collect()}
+    assert set(table) == set(runs) and all(0 < v <= 1 for v in table.values())
+    fewer = min(dealt_tables)
+    assert sorted(dealt_tables) == [fewer, 600] and fewer < 600
+    assert sorted(read) == sorted([(2, 600, False)] * (len(runs) - 1) + [(2, fewer, False)])
+
+
+def test_lineage_of_trees_is_short(spark):
+    """The trees of a fit are checkpointed every few; where rows are many, as often as Spark does by itself."""
+    assert training.classifier("trees", "is_fraud", 280_000).getCheckpointInterval() == 3
+    assert training.classifier("trees", "is_fraud", 17_000_000).getCheckpointInterval() == 10
